@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that a Python worker handles at once.
-SLICE_BYTES = 1 << 19
+SLICE_BYTES = 1 << 18
+#: Bytes of an Arrow batch that goes to a Python worker.
+BATCH_BYTES = 8 << 20
 #: Words `[^\x20\x09-\x0D]+`, as Java's split() wants their gaps.
 GAP = "[\\x20\\x09-\\x0D]+"
 
@@ -51,6 +53,8 @@ class Work:
     def __init__(self, spark: SparkSession, what: str) -> None:
         self.spark, self.base = spark, f"{shared_dir(spark)}/plumbline/{what}-{uuid.uuid4().hex}"
         atexit.register(_delete, spark, self.base)
+        # Long texts and wide rows: the number of rows alone doesn't bound a batch.
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
     def path(self, name: str) -> str:
         return f"{self.base}/{name}"
