@@ -50,13 +50,15 @@ def compact(whole: DataFrame, window: int, work: Work) -> DataFrame:
     return paths.select("uid", "start", "stop")
 
 
-def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """doc_id, uid, n_words, n_removed, spans (start, stop in words), kept (words
+def dedup(docs: DataFrame, window: int = WINDOW, extra: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_words, n_removed, spans (start, stop in words), kept (words
     joined by one space) and text_kept (the text without the removed words and
-    the gaps after them) of every row of docs (doc_id, text)."""
+    the gaps after them) and `extra` columns of every row of docs (doc_id, text)."""
     gram = max(1, min(GRAM, window // 4))
     work = Work(docs.sparkSession, "debruijn")
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("uid", row_key("doc_id", "text"))
+    types = dict(docs.dtypes)
+    held = [f"extra{i}" for i in range(len(extra))]
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *(F.col(c).alias(h) for c, h in zip(extra, held))).withColumn("uid", row_key("doc_id", "text"))
     whole, found = repeats.repeated(docs, work, "words", window, gram, BLOCKS)
     spans = compact(whole, window, work).unionByName(found)
 
@@ -97,11 +99,23 @@ def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                     spans=pa.array(removed, type=pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))),
                     kept=pa.array(kept, type=pa.string()),
                     text_kept=pa.array(texts, type=pa.string()),
-                    uid=b.column("uid").slice(lo, hi - lo),
+                    **{h: b.column(h).slice(lo, hi - lo) for h in held},
                 )
 
-    rows = repeats.with_spans(docs, spans).select("doc_id", "text", "uid", "spans")
-    return rows.mapInArrow(cut, "doc_id long, n_words long, n_removed long, spans array<struct<start: long, stop: long>>, kept string, text_kept string, uid long")
+    rows = repeats.with_spans(docs, spans).select("doc_id", "text", "spans", *held)
+    schema = "doc_id long, n_words long, n_removed long, spans array<struct<start: long, stop: long>>, kept string, text_kept string"
+    out = rows.mapInArrow(cut, ", ".join([schema, *(f"{h} {types[c]}" for c, h in zip(extra, held))]))
+    return out.withColumnsRenamed(dict(zip(held, extra)))
+
+
+def passage_free(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """docs with the repeated passages cut from their texts, and n_chars (where
+    there is such a column) counted anew for texts that changed."""
+    extra = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_words", "n_removed", "spans", "kept", "text_kept"))
+    out = dedup(docs, window, extra).withColumn("text", F.col("text_kept"))
+    if "n_chars" in extra:
+        out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return out.select(*[c for c in docs.columns if c in extra or c in ("doc_id", "text")])
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
