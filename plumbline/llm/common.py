@@ -59,9 +59,11 @@ class Work:
     def path(self, name: str) -> str:
         return f"{self.base}/{name}"
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
+    def keep(self, df: DataFrame, name: str, codec: str = "uncompressed") -> DataFrame:
+        """Writes and reads again.  Most of these tables are hashes, which don't
+        compress; a codec is for such as hold texts."""
         path = self.path(name)
-        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+        df.write.mode("overwrite").option("compression", codec).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:

@@ -190,7 +190,7 @@ def repeated(docs: DataFrame, work: Work, kind: str, window: int, gram: int, blo
     shared = contents.groupBy("gram").agg(F.count("*").alias("contents")).where("contents > 1").select("gram")
     wanted = contents.join(shared, "gram", "left_semi").select("uid", "at", "gram", (F.col("n") == 1).alias("single"))
     work.release()
-    contexts = work.keep(_contexts(docs, wanted, kind, window), "contexts")
+    contexts = work.keep(_contexts(docs, wanted, kind, window), "contexts", "zstd" if kind == "bytes" else "uncompressed")
     work.drop("contents")
     spans, rows, parent = [], contexts, None
     blocks = tuple(x for x in blocks if x == 1 or 2 * x <= window)
