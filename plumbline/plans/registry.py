@@ -1,4 +1,7 @@
 """All queries over the engine's own operators, and their SQL."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from __future__ import annotations
+
+from plumbline.plans.queries import ORACLE_SQL, QUERIES
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
