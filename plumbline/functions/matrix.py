@@ -12,7 +12,7 @@ RELATIVE = 1e-5
 
 
 def cells(flat: Column, size: int = 4) -> list[list[Column]]:
-    return [[F.element_at(flat, r * size + c + 1) for c in range(size)] for r in range(size)]
+    return [[F.get(flat, F.lit(r * size + c)) for c in range(size)] for r in range(size)]
 
 
 def _close(value: Column, target: float, tolerance: float) -> Column:

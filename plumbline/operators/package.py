@@ -152,7 +152,7 @@ def validate(s: Scenes) -> DataFrame:
     parts.append(_found(ranged.where(~within), "DEPTH_RANGE_IMPLAUSIBLE", file(REQUIRED[3]), "depths are outside the plausible range"))
     parts.append(_found(ranged.where("saturated_share > 0.01"), "DEPTH_SCALE_SATURATED", file(REQUIRED[2]), "depths reach the ceiling"))
 
-    place = shaped.where(four).select("scene", "viewpoint", *(F.col("matrix")[k].alias(c) for k, c in ((3, "x"), (7, "y"), (11, "z"))))
+    place = shaped.where(four).select("scene", "viewpoint", *(F.get("matrix", F.lit(k)).alias(c) for k, c in ((3, "x"), (7, "y"), (11, "z"))))
     parts.append(_found(close_pairs(place), "VIEWPOINTS_TOO_CLOSE", here, "another viewpoint is too close"))
     start = first.join(s.config.where("start_image is not null"), "scene").select("scene", F.col("key").alias("viewpoint"), F.col("start_image").alias("name"))
     start = start.join(dirs, ["scene", "viewpoint"], "left_semi")

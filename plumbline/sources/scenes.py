@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,7 +47,13 @@ def read(spark: SparkSession, root: str, config: DataFrame | None = None) -> Sce
     view = F.nullif(F.regexp_extract("path", r"^viewpoints/([^/]+)/", 1), F.lit(""))
     files = files.withColumn("viewpoint", view).withColumn("name", F.substring_index("path", "/", -1))
     file = files.select("scene", "viewpoint", "name", "path", F.col("length").alias("size"))
-    maps = files.where(F.col("path").rlike(r"^map[^/]*\.json$")).select("scene", F.col("path").alias("map_file"), F.decode("content", "utf-8").alias("json"))
+    # Spark skips empty files; its own listing, which the driver holds, has them.
+    base = root.split("://")[-1].rstrip("/") + "/"
+    listed = [unquote(p).split(base, 1)[-1].lstrip("/") for p in spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).inputFiles()]
+    every = spark.createDataFrame([(p,) for p in listed], "rel string").withColumn("scene", F.substring_index("rel", "/", 1)).withColumn("path", F.expr("substring(rel, length(scene) + 2)"))
+    empty = every.join(file, ["scene", "path"], "left_anti").select("scene", view.alias("viewpoint"), F.substring_index("path", "/", -1).alias("name"), "path", F.lit(0).cast("long").alias("size"))
+    file = file.unionByName(empty)
+    maps = files.where(F.col("path").rlike(r"^map[^/]*\.json$")).select("scene", F.col("path").alias("map_file"), F.try_validate_utf8(F.col("content").cast("string")).alias("json"))
     of = lambda name: files.where(F.col("name") == name).where("viewpoint is not null")
     text = lambda name: of(name).select("scene", "viewpoint", F.try_validate_utf8(F.col("content").cast("string")).alias("text"))
     images = of("place_image.png").unionByName(of("place_depth.png")).withColumn("h", png.header(F.col("content")))
