@@ -45,7 +45,7 @@ MAGIC = b"PLMBTOK1"
 BLOCK = 4096
 END_ID = 2
 #: Chunks whose ids a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 800_000
 _TWO_SPACES = re.compile(r"\s\s")
 
 
@@ -80,8 +80,8 @@ class Encoder:
 
     def _learn(self, chunks: list[str]) -> dict[str, bytes]:
         """The ids of chunks, each with a space before it."""
-        odd = [c for c in chunks if not c or c[0].isspace() or c[-1].isspace()]
-        even = [c for c in chunks if c and not c[0].isspace() and not c[-1].isspace()]
+        even = [c for c in chunks if c and c == c.strip()]
+        odd = [c for c in chunks if not c or c != c.strip()]
         found = dict(zip(odd, self.plain([" " + c for c in odd])))
         groups = [even[i : i + 256] for i in range(0, len(even), 256)]
         for group, ids in zip(groups, self.plain([" " + " ".join(g) for g in groups])):
@@ -109,19 +109,14 @@ class Encoder:
         parts = [texts[i].split(" ") for i in rest]
         heads = self.plain([p[0] for p in parts])
         known = self.known
-        missing = {c for p in parts for c in p[1:] if c not in known}
-        new = self._learn(list(missing)) if missing else {}
-        room = REMEMBERED - len(known)
-        if room >= len(new):
-            known.update(new)
-            look = known
-        else:
-            look = {**{c: known[c] for p in parts for c in p[1:] if c in known}, **new}
-            for c, ids in zip(list(new)[: max(0, room)], new.values()):
-                known[c] = ids
-        get = look.__getitem__
+        missing = list(set().union(*parts).difference(known))
+        known.update(self._learn(missing) if missing else ())
+        get = known.__getitem__
         for i, p, head in zip(rest, parts, heads):
             out[i] = head + b"".join(map(get, p[1:]))
+        # What is too much is forgotten again: what came first is the frequent.
+        for c in missing[max(0, len(missing) - max(0, len(known) - REMEMBERED)) :]:
+            del known[c]
         return out
 
 
