@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 1 << 18
 #: Bytes of an Arrow batch that goes to a Python worker.
 BATCH_BYTES = 8 << 20
+#: Bytes of an operator's source for each file of an intermediate table.
+FILE_BYTES = 16 << 20
 #: Words `[^\x20\x09-\x0D]+`, as Java's split() wants their gaps.
 GAP = "[\\x20\\x09-\\x0D]+"
 
@@ -50,7 +52,11 @@ class Work:
     A written table cuts the lineage and survives lost executors.  Tables that
     a result still reads go when the session ends; drop() removes one earlier."""
 
-    def __init__(self, spark: SparkSession, what: str) -> None:
+    def __init__(self, spark: SparkSession, what: str, source: DataFrame | None = None) -> None:
+        """source: what the call reads; its size (as the optimizer knows it from
+        the files) says how many files a table is worth."""
+        size = int(str(source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) if source is not None else 0
+        self.files = max(2 * spark.sparkContext.defaultParallelism, min(-(-size // FILE_BYTES), (1 << 31) - 1))
         self.spark, self.base = spark, f"{shared_dir(spark)}/plumbline/{what}-{uuid.uuid4().hex}"
         atexit.register(_delete, spark, self.base)
         # Long texts and wide rows: the number of rows alone doesn't bound a batch.
@@ -63,9 +69,14 @@ class Work:
         """Writes and reads again.  Most of these tables are hashes, which don't
         compress; a codec is for such as hold texts."""
         path = self.path(name)
-        df.write.mode("overwrite").option("compression", codec).parquet(path)
+        self.few(df).write.mode("overwrite").option("compression", codec).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def few(self, df: DataFrame) -> DataFrame:
+        """df in no more tasks than its source's size asks for (two a core at the
+        least): small inputs don't become hundreds of small files."""
+        return df.coalesce(self.files)
+
     def drop(self, *names: str) -> None:
         for name in names:
             _delete(self.spark, self.path(name))

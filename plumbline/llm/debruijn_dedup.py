@@ -55,7 +55,7 @@ def dedup(docs: DataFrame, window: int = WINDOW, extra: tuple[str, ...] = ()) ->
     joined by one space) and text_kept (the text without the removed words and
     the gaps after them) and `extra` columns of every row of docs (doc_id, text)."""
     gram = max(1, min(GRAM, window // 4))
-    work = Work(docs.sparkSession, "debruijn")
+    work = Work(docs.sparkSession, "debruijn", docs)
     types = dict(docs.dtypes)
     held = [f"extra{i}" for i in range(len(extra))]
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *(F.col(c).alias(h) for c, h in zip(extra, held))).withColumn("uid", row_key("doc_id", "text"))
@@ -105,7 +105,7 @@ def dedup(docs: DataFrame, window: int = WINDOW, extra: tuple[str, ...] = ()) ->
     rows = repeats.with_spans(docs, spans).select("doc_id", "text", "spans", *held)
     schema = "doc_id long, n_words long, n_removed long, spans array<struct<start: long, stop: long>>, kept string, text_kept string"
     out = rows.mapInArrow(cut, ", ".join([schema, *(f"{h} {types[c]}" for c, h in zip(extra, held))]))
-    return out.withColumnsRenamed(dict(zip(held, extra)))
+    return work.few(out).withColumnsRenamed(dict(zip(held, extra)))
 
 
 def passage_free(docs: DataFrame, window: int = WINDOW) -> DataFrame:

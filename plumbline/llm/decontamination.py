@@ -50,7 +50,7 @@ def _sized(df: DataFrame, rows: int) -> DataFrame:
 def contaminated(docs: DataFrame, items: DataFrame, percent: int = PERCENT, most_words: int = WORDS) -> DataFrame:
     """doc_id, uid, item_id, n_item, n_found of each document (doc_id, text) that
     contains `percent` of an item's (item_id, text) shingles or more."""
-    work = Work(docs.sparkSession, "contain")
+    work = Work(docs.sparkSession, "contain", docs)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("uid", row_key("doc_id", "text"))
     items = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("item_text")).withColumn("words", F.least(F.size(words(F.col("item_text"))), F.lit(most_words)))
     widths = [r.words for r in items.where("words > 0").select("words").distinct().collect()]

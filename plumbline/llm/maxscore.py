@@ -84,7 +84,7 @@ def shard_top(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, row_
 def search(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """query_id, rank, vec_id, score: each query's k best rows but its own.
     Both sides: vec_id, terms.  Queries meet the shards block by block."""
-    work = Work(vectors.sparkSession, "maxscore")
+    work = Work(vectors.sparkSession, "maxscore", vectors)
     vectors = work.keep(vectors, "vectors")
     queries = work.keep(queries, "queries")
     n, m = vectors.count(), queries.count()

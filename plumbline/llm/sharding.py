@@ -122,7 +122,7 @@ def even(state: DataFrame, shards: int, work: Work) -> DataFrame:
 def assign(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard of every row of
     docs (doc_id, text)."""
-    work = Work(docs.sparkSession, "shards")
+    work = Work(docs.sparkSession, "shards", docs.select("doc_id"))
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -132,6 +132,7 @@ def assign(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataF
     ).withColumn("uid", F.xxhash64("doc_id", "group"))
     rows = work.keep(rows, "rows")
     out = even(propagate(rows, shards, work, rounds), shards, work)
+    out = work.few(out)
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 

@@ -29,7 +29,7 @@ def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, n_bytes, spans (start, stop: maximal removed runs) and kept
     (the remaining bytes) of every row of docs (doc_id, text)."""
     gram = max(1, min(GRAM, window // 8))
-    work = Work(docs.sparkSession, "suffix")
+    work = Work(docs.sparkSession, "suffix", docs)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("uid", row_key("doc_id", "text"))
     whole, found = repeats.repeated(docs, work, "bytes", window, gram, BLOCKS)
     spans = whole.select("uid", repeats.run_lo().alias("start"), (repeats.run_hi() + window).alias("stop")).unionByName(found)
@@ -51,7 +51,8 @@ def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 kept=pa.array(kept, type=pa.binary()),
             )
 
-    return repeats.with_spans(docs, spans).select("doc_id", "text", "spans").mapInArrow(cut, "doc_id long, n_bytes long, spans array<struct<start: long, stop: long>>, kept binary")
+    rows = repeats.with_spans(docs, spans).select("doc_id", "text", "spans")
+    return work.few(rows.mapInArrow(cut, "doc_id long, n_bytes long, spans array<struct<start: long, stop: long>>, kept binary"))
 
 
 def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
