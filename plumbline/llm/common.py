@@ -17,8 +17,14 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 1 << 18
 #: Bytes of an Arrow batch that goes to a Python worker.
 BATCH_BYTES = 8 << 20
+#: Rows of a batch that Parquet readers hold, and bytes of a row group that writers
+#: hold: both are for texts of kilobytes, not for numbers.
+BATCH_ROWS, ROW_GROUP_BYTES = 512, 32 << 20
 #: Bytes of an operator's source for each file of an intermediate table.
-FILE_BYTES = 16 << 20
+FILE_BYTES = 32 << 20
+#: Folders of the `file` scheme are written without checksum files and without a
+#: process started for each file's permissions; other schemes don't read these.
+PLAIN_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
 #: Words `[^\x20\x09-\x0D]+`, as Java's split() wants their gaps.
 GAP = "[\\x20\\x09-\\x0D]+"
 
@@ -61,6 +67,7 @@ class Work:
         atexit.register(_delete, spark, self.base)
         # Long texts and wide rows: the number of rows alone doesn't bound a batch.
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+        spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(BATCH_ROWS))
 
     def path(self, name: str) -> str:
         return f"{self.base}/{name}"
@@ -69,7 +76,7 @@ class Work:
         """Writes and reads again.  Most of these tables are hashes, which don't
         compress; a codec is for such as hold texts."""
         path = self.path(name)
-        self.few(df).write.mode("overwrite").option("compression", codec).parquet(path)
+        self.few(df).write.mode("overwrite").option("compression", codec).option("parquet.block.size", ROW_GROUP_BYTES).options(**PLAIN_FILES).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def few(self, df: DataFrame) -> DataFrame:

@@ -71,7 +71,7 @@ def contaminated(docs: DataFrame, items: DataFrame, percent: int = PERCENT, most
         found = pairs if found is None else found.unionByName(pairs)
     if found is None:
         found = docs.select("doc_id", "uid", *(F.lit(0).cast("long").alias(c) for c in ("item_id", "n_item", "n_found"))).limit(0)
-    return found
+    return work.few(found)
 
 
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

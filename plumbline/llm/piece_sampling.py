@@ -363,6 +363,7 @@ def decode(encoded: DataFrame, model: str | None = None) -> DataFrame:
 
 
 def op6_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    Work(spark, "pieces")
-    out = encode(table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-    return out.select("doc_id", "n_tokens", "token_ids", "lossless")
+    docs = table(spark, sf_dir, "documents")
+    work = Work(spark, "pieces", docs)
+    out = encode(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    return work.few(out.select("doc_id", "n_tokens", "token_ids", "lossless"))
