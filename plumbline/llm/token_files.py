@@ -297,6 +297,6 @@ def read(spark: SparkSession, files: list[tuple[int, str, int, int]], with_ids:
 
 
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    work = Work(spark, "tokens")
-    files = write(table(spark, sf_dir, "documents"), work.path("files"))
-    return read(spark, files, with_ids=False)
+    docs = table(spark, sf_dir, "documents")
+    work = Work(spark, "tokens", docs)
+    return work.few(read(spark, write(docs, work.path("files")), with_ids=False))
