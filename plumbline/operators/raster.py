@@ -448,6 +448,64 @@ def in_millimetres(rows: DataFrame, scale: DataFrame) -> DataFrame:
     return mm.drop("code").unionByName(found.withColumn("kind", F.lit("finding")), allowMissingColumns=True)
 
 
+ANCHOR_INK = 64
+
+
+def anchor_extent(mask: np.ndarray) -> float:
+    """Extent (max - min + 1) of the set pixels along their principal axis."""
+    ys, xs = np.nonzero(mask)
+    if len(xs) < 2:
+        return float(len(xs))
+    q = np.column_stack([xs - xs.mean(), ys - ys.mean()])
+    t = q @ np.linalg.eigh(q.T @ q / len(q))[1][:, -1]
+    return float(t.max() - t.min() + 1)
+
+
+def measured_anchors(images: DataFrame, anchors: DataFrame) -> DataFrame:
+    """anchors: plan_id, id, ord, real_length_m, span_px, x, y (the middle).  Adds
+    measured_px: in order, each anchor takes the nearest component of anchor ink that
+    is left; null if there is none.  A plan's anchors are a handful."""
+    lists = anchors.groupBy("plan_id").agg(F.array_sort(F.collect_list(F.struct("ord", "id", "real_length_m", "span_px", "x", "y"))).alias("anchors"))
+
+    def run(batches):
+        for df in batches:
+            for plan_id, content, mine in zip(df["plan_id"], df["content"], df["anchors"]):
+                try:
+                    label, n = components(png.grey(png.decode(bytes(content))) == ANCHOR_INK)
+                except Exception:
+                    label, n = np.zeros((1, 1), dtype=np.int32), 0
+                left = []
+                for k in range(1, n + 1):
+                    ys, xs = np.nonzero(label == k)
+                    left.append((float(xs.mean()), float(ys.mean()), k))
+                out = []
+                for a in mine:
+                    size = None
+                    if left:
+                        best = min(range(len(left)), key=lambda i: math.hypot(left[i][0] - a["x"], left[i][1] - a["y"]))
+                        size = anchor_extent(label == left.pop(best)[2])
+                    out.append((plan_id, a["id"], a["real_length_m"], a["span_px"], size))
+                yield pd.DataFrame(out, columns=["plan_id", "id", "real_length_m", "span_px", "measured_px"])
+
+    return images.select("plan_id", "content").join(lists, "plan_id").mapInPandas(run, "plan_id string, id string, real_length_m double, span_px double, measured_px double")
+
+
+def probe(images: DataFrame) -> DataFrame:
+    """Diagnostics of an image: dark pixels and pixels on edges (a 3x3 Laplacian over
+    64; the border isn't filtered)."""
+
+    def run(batches):
+        for df in batches:
+            for plan_id, content in zip(df["plan_id"], df["content"]):
+                g = png.grey(png.decode(bytes(content))).astype(np.int64)
+                near = sum(g[1 + dy : g.shape[0] - 1 + dy, 1 + dx : g.shape[1] - 1 + dx] for dy in (-1, 0, 1) for dx in (-1, 0, 1))
+                e = np.clip(g, 0, 255)
+                e[1:-1, 1:-1] = np.clip(9 * g[1:-1, 1:-1] - near, 0, 255)
+                yield pd.DataFrame([(plan_id, g.shape[1], g.shape[0], int((g < 64).sum()), int((g < 128).sum()), int((e > 64).sum()))], columns=["plan_id", "width", "height", "dark_64", "dark_128", "edges_64"])
+
+    return images.mapInPandas(run, "plan_id string, width int, height int, dark_64 long, dark_128 long, edges_64 long")
+
+
 def scale_findings(anchors: DataFrame, fit: DataFrame) -> DataFrame:
     """anchors: plan_id, span_px, measured_px.  Scales that can't be trusted."""
     a = anchors.groupBy("plan_id").agg(F.min("span_px").alias("least"), F.bool_or(F.col("measured_px").isNull() | (F.abs(F.col("measured_px") - F.col("span_px")) > ANCHOR_BAND_PX)).alias("off"))

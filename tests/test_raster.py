@@ -85,3 +85,26 @@ def test_fits(spark):
     assert (c.cx, c.cy, c.r) == pytest.approx((10, -3, 5))
     line = spark.createDataFrame([("l", float(k), float(k)) for k in range(11)], "id string, x double, y double")
     assert evaluator.principal_extent(line, "id").first().extent == pytest.approx(10 * 2**0.5 + 1)
+
+
+def test_anchors_and_probe(spark):
+    img = two_rooms()
+    stroke(img, 100, 650, 300, 650, w=2, v=64)
+    stroke(img, 500, 650, 600, 650, w=2, v=64)
+    df = spark.createDataFrame([("p", bytearray(png.encode(img))), ("q", bytearray(b"x"))], "plan_id string, content binary")
+    rows = [("p", "a", 0, 1.0, 200.0, 200.0, 650.0), ("p", "b", 1, 0.5, 100.0, 210.0, 650.0), ("p", "c", 2, 0.5, 100.0, 0.0, 0.0), ("q", "a", 0, 1.0, 200.0, 1.0, 1.0)]
+    anchors = spark.createDataFrame(rows, "plan_id string, id string, ord int, real_length_m double, span_px double, x double, y double")
+    got = {(r.plan_id, r.id): r.measured_px for r in raster.measured_anchors(df, anchors).collect()}
+    assert got[("p", "a")] == pytest.approx(202, abs=2) and got[("p", "b")] == pytest.approx(102, abs=2) and got[("p", "c")] is None and got[("q", "a")] is None
+    seen = raster.probe(df.where("plan_id = 'p'")).first()
+    assert (seen.width, seen.height) == (900, 700) and seen.dark_64 == int((img < 64).sum()) and seen.edges_64 > 0
+
+
+def test_top_view(spark):
+    from plumbline.operators import compile as comp, normalize
+    from plumbline.sinks import topview
+    from tests import layer_a
+
+    m = comp.compile_model(normalize.normalize(layer_a.drawing(spark)))
+    img = png.decode(bytes(topview.render(m.wall, m.room, m.opening).first().png))
+    assert img.shape == (340, 440, 3) and (img == (180, 83, 9)).all(axis=2).any() and (img == (20, 83, 45)).all(axis=2).any()
