@@ -172,12 +172,15 @@ def linear_svm(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, seed: i
 
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE, train_bytes: int = TRAIN_BYTES) -> Model:
     """docs: doc_id, text, lang; a bounded sample of them by a hash of the id."""
-    labelled = docs.where("lang is not null and text is not null").withColumn("pick", F.xxhash64("doc_id"))
-    languages = [r.lang for r in labelled.groupBy("lang").count().orderBy("lang").collect()]
+    labelled = docs.where("lang is not null and text is not null").withColumn("pick", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)))
+    counts = {r.lang: r["count"] for r in labelled.groupBy("lang").count().orderBy("lang").collect()}
+    languages = sorted(counts)
     sample = []
     for lang in languages:
-        # A top-k by hash: bounded in every task, whatever share of rows it has.
-        mine = labelled.where(F.col("lang") == lang).select("pick", "lang", F.substring("text", 1, train_bytes).alias("text"))
+        # The rows below a bound on their hash: somewhat more than needed in all,
+        # so no task sends more than its share of them.
+        share = min(1.0, (1.2 * per_language + 100) / counts[lang])
+        mine = labelled.where((F.col("lang") == lang) & (F.col("pick") < int(share * (1 << 40)))).select("pick", "lang", F.substring("text", 1, train_bytes).alias("text"))
         sample += mine.orderBy("pick", "text").limit(per_language).collect()
     model = Model(languages)
     if len(languages) < 2:
@@ -223,8 +226,8 @@ def held_out():
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    Work(spark, "language")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    work = Work(spark, "language", docs)
     model = train(docs.where(~held_out()))
     out = predict(docs.select("doc_id", "text"), model)
-    return out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+    return work.few(out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score"))
