@@ -162,7 +162,11 @@ class Trees:
 
 def train(labelled: DataFrame, most: int = TRAIN_ROWS) -> Trees | None:
     """labelled: page_id, url, blocked (0 or 1) and FEATURES."""
-    rows = labelled.select(*FEATURES, "blocked", F.xxhash64("page_id", "url").alias("pick")).orderBy("pick").limit(most).collect()
+    # The rows below a bound on their hash: somewhat more than needed in all, so no
+    # task sends more than its share of them.
+    share = min(1.0, (1.2 * most + 100) / max(1, labelled.count()))
+    rows = labelled.select(*FEATURES, "blocked", F.pmod(F.xxhash64("page_id", "url"), F.lit(1 << 40)).alias("pick"))
+    rows = rows.where(F.col("pick") < int(share * (1 << 40))).orderBy("pick").limit(most).collect()
     if not rows:
         return None
     data = np.array([tuple(r)[:-1] for r in rows], dtype=np.float64)
