@@ -25,6 +25,8 @@ from plumbline.llm.common import SLICE_BYTES, Work, batch, row_key, table
 from plumbline.llm.seqhash import row_slices, text_buffer, word_bounds
 
 WINDOW, GRAM, BLOCKS = 35, 5, (8, 1)
+#: Edges (16 bytes each) up to which the list of unbranched ones is broadcast.
+BROADCAST_EDGES = 500_000
 
 
 def compact(whole: DataFrame, window: int, work: Work) -> DataFrame:
@@ -41,8 +43,11 @@ def compact(whole: DataFrame, window: int, work: Work) -> DataFrame:
     out = edges.groupBy("edge").agg(F.min("next").alias("a"), F.max("next").alias("b"), F.count_if(F.col("next").isNull()).alias("ends"))
     out = out.where("a = b and ends = 0").select("edge", F.col("a").alias("next"))
     into = edges.where("next is not null").groupBy("next").agg(F.min("edge").alias("a"), F.max("edge").alias("b")).where("a = b").select("next", F.col("a").alias("edge"))
-    plain = out.join(into, ["edge", "next"]).select("edge", F.lit(1).alias("joined"))
-    joined = edges.join(plain, "edge", "left")
+    plain = work.keep(out.join(into, ["edge", "next"]).select("edge", F.lit(1).alias("joined")), "plain")
+    # A line that stands in very many rows is one hot edge: below the bound its rows
+    # stay where they are; beyond it, adaptive execution splits the join.
+    small = plain.limit(BROADCAST_EDGES + 1).count() <= BROADCAST_EDGES
+    joined = edges.join(F.broadcast(plain) if small else plain, "edge", "left")
     begins = F.coalesce(F.lag("joined").over(by_row), F.lit(0)) == 0
     joined = joined.withColumn("begins", (begins | (F.lag("hi").over(by_row) + 1 != F.col("lo"))).cast("int"))
     joined = joined.withColumn("path", F.sum("begins").over(by_row))
