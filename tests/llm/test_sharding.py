@@ -30,3 +30,29 @@ def test_few_rows(spark):
     docs = spark.createDataFrame([(1, "a"), (2, "a")], "doc_id long, text string")
     assert sorted(r.slot for r in sharding.assign(docs).collect()) == [0, 0]
     assert sharding.assign(docs.limit(0)).count() == 0
+
+
+def places(spark, hot, pairs, fours, singles):
+    """Shards of each text, and rows a shard."""
+    texts = ["hot"] * hot + [f"pair {i % pairs}" for i in range(2 * pairs)] + [f"four {i % fours}" for i in range(4 * fours)] + [f"alone {i}" for i in range(singles)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    found, slots = defaultdict(set), defaultdict(list)
+    for r in sharding.assign(docs).collect():
+        found[texts[r.doc_id]].add(r.shard)
+        slots[r.shard].append(r.slot)
+    assert sum(map(len, slots.values())) == len(texts)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
+    return found
+
+
+def test_no_group_that_fits_is_split(spark):
+    found = places(spark, 2400, 700, 500, 1800)
+    assert [t for t, p in found.items() if t != "hot" and len(p) > 1] == []
+    assert len(found["hot"]) == -(-2400 * 24 // 7600)
+
+
+def test_no_row_without_a_link(spark):
+    # Sizes are exact: the last groups may not fit, but fewer than there are shards.
+    found = places(spark, 2500, 1251, 600, 0)
+    assert sum(len(p) > 1 for t, p in found.items() if t != "hot") < 24
