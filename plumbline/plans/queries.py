@@ -275,6 +275,20 @@ def free_space(spark: SparkSession, sf_dir: str) -> DataFrame:
     return camera.free_space(points, model).where("code = 'CAM_VIEWPOINT_COLLIDES_WALL'").groupBy("plan_id", F.col("room_id").alias("idx")).agg(F.count("*").alias("walls"))
 
 
+@query(f"""WITH r AS (SELECT *, x0 + w AS x1, y0 + h AS y1, x0 + w / 2.0 AS cx, y0 + h / 2.0 AS cy FROM ({pj.RECTS}) q),
+f AS (SELECT plan_id, unnest([{{'ax': x0, 'ay': y0, 'bx': x1, 'by_': y0}}, {{'ax': x1, 'ay': y0, 'bx': x1, 'by_': y1}}, {{'ax': x0, 'ay': y1, 'bx': x1, 'by_': y1}}, {{'ax': x0, 'ay': y0, 'bx': x0, 'by_': y1}}]) AS s FROM r)
+SELECT a.plan_id, a.idx, count(*) AS walls FROM r a JOIN f b ON a.plan_id = b.plan_id
+WHERE greatest(s.ax - a.cx, 0, a.cx - s.bx) ** 2 + greatest(s.ay - a.cy, 0, a.cy - s.by_) ** 2 < 415 ** 2 GROUP BY 1, 2""")
+def free_space_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points closer than the clearance to walls (all sides of all rooms)."""
+    r = pj.rect_rings(spark, sf_dir).withColumn("m", F.transform("polygon", lambda p: g.point(p["x"] / 1000, p["y"] / 1000)))
+    points = r.select("plan_id", F.col("idx").alias("room_id"), g.centroid(F.col("m")).alias("point"), F.col("m").alias("polygon"))
+    edges = r.select("plan_id", "idx", F.posexplode(g.ring_edges(F.col("m"))).alias("k", "e"))
+    wall = edges.select("plan_id", (F.col("idx") * 4 + F.col("k")).alias("id"), F.col("e.a").alias("start"), F.col("e.b").alias("end"), F.lit(0.13).alias("thickness_m"))
+    model = comp.Model(wall, r, spark.createDataFrame([], "plan_id string, id bigint, center struct<x: double, y: double>"))
+    return camera.free_space(points, model).where("code = 'CAM_VIEWPOINT_COLLIDES_WALL'").groupBy("plan_id", F.col("room_id").alias("idx")).agg(F.count("*").alias("walls"))
+
+
 @query(f"""WITH r AS (SELECT plan_id, 'gr-' || lpad(CAST(idx AS VARCHAR), 10, '0') AS room_id FROM ({pj.RECTS}) q WHERE idx % 5 <> 0)
 SELECT plan_id, room_id, lpad(CAST(row_number() OVER (PARTITION BY plan_id ORDER BY room_id) - 1 AS VARCHAR), 4, '0') AS id FROM r""")
 def viewpoint_ordinals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -375,6 +389,20 @@ def scale_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("plan_id", *(F.round(c, 9).alias(c) for c in ("m_per_px", "median_residual", "disagreement")), "anchors")
 
 
+_ANCHORS = "SELECT CAST(user_id AS STRING) || '-' || CAST(event_id % 23 AS STRING) AS plan_id, 1.0 + event_id % 9 AS real_length_m, 100.0 + event_id % 50 AS span_px FROM events"
+
+
+@query(f"""WITH a AS (SELECT plan_id, real_length_m::DOUBLE / span_px::DOUBLE AS m FROM ({_ANCHORS}) e), f AS (SELECT plan_id, median(m) AS md, min(m) AS lo, max(m) AS hi, count(*) AS anchors FROM a GROUP BY plan_id)
+SELECT plan_id, round(CASE WHEN anchors >= 3 THEN md END, 9) AS m_per_px, round(CASE WHEN anchors >= 3 THEN greatest(hi - md, md - lo) / md END, 9) AS median_residual, round(CASE WHEN anchors >= 3 THEN (hi - lo) / md END, 9) AS disagreement, anchors FROM f""")
+def scale_fit_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scale from anchors, of all events; the plans are parts of users, so
+    that some have fewer than three."""
+    pj.tables(spark, sf_dir, "events")
+    a = spark.sql(_ANCHORS).select("plan_id", F.col("real_length_m").cast("double").alias("real_length_m"), F.col("span_px").cast("double").alias("span_px"))
+    out = evaluator.scale_fit(a)
+    return out.select("plan_id", *(F.round(c, 9).alias(c) for c in ("m_per_px", "median_residual", "disagreement")), "anchors")
+
+
 _HIST = "SELECT event_type, CAST((event_id * event_id + user_id * 3) % 256 AS INT) AS bin, count(*) AS n FROM events WHERE (event_id * event_id) % 256 < 90 OR event_id % 3 = 0 GROUP BY 1, 2"
 
 
