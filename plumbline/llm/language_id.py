@@ -7,7 +7,8 @@ space), as shares of the text's trigrams, so a decision is a mean of trigram
 weights and is computed from the flat byte buffer without a loop over rows.
 
 Training uses no more than PER_LANGUAGE labelled texts of a language (chosen by
-a hash of the id) and TRAIN_BYTES of each; these bounds are parameters.
+a hash of the id; the bound is a parameter), each as a whole: executors count its
+trigrams, and only the counts go to the driver.
 
 Edge cases: a text that is null or has no letter is `und`, score 0; with no
 labelled rows at all every text is `und`; with one language every text with a
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from plumbline.llm import seqhash as sh
 from plumbline.llm.common import SLICE_BYTES, Work, batch, map_batches, table
 
-PER_LANGUAGE, TRAIN_BYTES = 1500, 4000
+PER_LANGUAGE = 1500
 BUCKETS = 1 << 15
 EPOCHS, REGULARISATION = 12, 1e-4
 UNKNOWN = "und"
@@ -170,7 +171,30 @@ def linear_svm(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, seed: i
     return w * scale, 0.1 * b
 
 
-def train(docs: DataFrame, per_language: int = PER_LANGUAGE, train_bytes: int = TRAIN_BYTES) -> Model:
+def counted(docs: DataFrame) -> DataFrame:
+    """pick, at (buckets, as 16-bit numbers) and n (counts, as 64-bit numbers) of the
+    trigrams of each whole text."""
+
+    def run(b: pa.RecordBatch):
+        data, offsets = sh.text_buffer(b.column("text"))
+        at, n = [], []
+        for lo, hi in zip(offsets[:-1], offsets[1:]):
+            total = np.zeros(BUCKETS, dtype=np.int64)
+            # The text and two blanks; pieces overlap by two bytes.
+            for start in range(lo, hi, SLICE_BYTES):
+                stop = min(start + SLICE_BYTES, hi)
+                more = data[stop : min(stop + 2, hi)]
+                piece = np.concatenate([data[start:stop], more, np.full(2 - len(more), 0x20, dtype=np.uint8)])
+                total += np.bincount(trigrams(piece), minlength=BUCKETS)
+            found = np.flatnonzero(total)
+            at.append(found.astype(np.uint16).tobytes())
+            n.append(total[found].tobytes())
+        yield batch(pick=b.column("pick"), at=pa.array(at, pa.binary()), n=pa.array(n, pa.binary()))
+
+    return map_batches(docs.select("pick", "text"), run, "pick long, at binary, n binary")
+
+
+def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     """docs: doc_id, text, lang; a bounded sample of them by a hash of the id."""
     labelled = docs.where("lang is not null and text is not null").withColumn("pick", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)))
     counts = {r.lang: r["count"] for r in labelled.groupBy("lang").count().orderBy("lang").collect()}
@@ -180,17 +204,16 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE, train_bytes: int =
         # The rows below a bound on their hash: somewhat more than needed in all,
         # so no task sends more than its share of them.
         share = min(1.0, (1.2 * per_language + 100) / counts[lang])
-        mine = labelled.where((F.col("lang") == lang) & (F.col("pick") < int(share * (1 << 40)))).select("pick", "lang", F.substring("text", 1, train_bytes).alias("text"))
-        sample += mine.orderBy("pick", "text").limit(per_language).collect()
+        mine = labelled.where((F.col("lang") == lang) & (F.col("pick") < int(share * (1 << 40))))
+        sample += [(lang, r.at, r.n) for r in counted(mine).orderBy("pick", "at", "n").limit(per_language).collect()]
     model = Model(languages)
     if len(languages) < 2:
         return model
     rows = []
-    for r in sample:
-        code = trigrams(np.frombuffer((r.text + "  ").encode(), dtype=np.uint8)) if r.text else np.zeros(0, dtype=np.int32)
-        at, n = np.unique(code, return_counts=True)
-        rows.append((at, n / max(1, n.sum())))
-    return model.fit(np.array([r.lang for r in sample]), rows)
+    for _, at, n in sample:
+        n = np.frombuffer(n, dtype=np.int64)
+        rows.append((np.frombuffer(at, dtype=np.uint16), n / max(1, n.sum())))
+    return model.fit(np.array([lang for lang, *_ in sample]), rows)
 
 
 def predict(docs: DataFrame, model: Model, keep_text: bool = False) -> DataFrame:

@@ -51,3 +51,23 @@ def test_few_languages(spark):
     none = language_id.train(docs.where("lang is null"))
     assert {r.lang_pred for r in language_id.predict(docs, none).collect()} == {"und"}
     assert language_id.predict(docs.limit(0), none).count() == 0
+
+
+def test_learns_from_whole_texts(spark):
+    # All texts open alike; what tells them apart comes later.
+    rows = [(d, "1 of 2 notes " * 400 + t, lang) for d, t, lang in corpus(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    asked = corpus(160)[80:]
+    got = {r.doc_id: r.lang_pred for r in language_id.predict(spark.createDataFrame(asked, "doc_id long, text string, lang string").select("doc_id", "text"), language_id.train(docs)).collect()}
+    assert sum(got[d] == lang for d, _, lang in asked) >= 0.9 * len(asked)
+
+
+def test_counts_of_pieces(spark, monkeypatch):
+    import numpy as np
+
+    text = "über alles, the one " * 40
+    for size in (7, 1 << 18):
+        monkeypatch.setattr(language_id, "SLICE_BYTES", size)
+        (r,) = language_id.counted(spark.createDataFrame([(1, text)], "pick long, text string")).collect()
+        at, n = np.unique(language_id.trigrams(np.frombuffer((text + "  ").encode(), dtype=np.uint8)), return_counts=True)
+        assert np.frombuffer(r.at, dtype=np.uint16).tolist() == at.tolist() and np.frombuffer(r.n, dtype=np.int64).tolist() == n.tolist()
