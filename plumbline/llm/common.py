@@ -38,6 +38,8 @@ def shared_dir(spark: SparkSession) -> str:
     the cluster names one, else (tests, one machine) a folder of our own."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not named:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         named = "file://" + tempfile.mkdtemp(prefix="plumbline-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
@@ -122,6 +124,13 @@ def binary_rows(flat: np.ndarray, offsets: np.ndarray) -> pa.Array:
 
 
 def row_key(*cols: str):
-    """A key for one row: its id and text; rows that agree in both are alike."""
-    return F.xxhash64(*[F.col(c) for c in cols])
+    """A key for one row: rows that agree in all of cols are alike."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in cols])
 
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have (names differ by more than case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

@@ -18,7 +18,8 @@ finer steps  for what is left, blocks of 64, 8, 1 (8, 1) window starts: the part
              means unique, the whole block equal means repeated, else the block
              is cut into smaller ones, until a block is one window.
 
-All decisions are on pairs of 64-bit hashes (gram and extension).  Each round
+All decisions are on pairs of hashes, of the gram and of the extension (see
+seqhash.Field): two different strings pass as equal with a chance below 2**-100.  Each round
 is a grouping with map-side partial aggregation, so a passage that stands in a
 third of all rows is counted before it is shuffled; joins back are plain equi
 joins, which adaptive execution splits where a key is hot.
@@ -156,7 +157,7 @@ def _nodes(rows: DataFrame, kind: str, window: int, block: int, parent: int | No
                     row, blk = row[ok], blk[ok]
                 if not len(row):
                     continue
-                rolling = sh.Rolling(values(flat))
+                rolling = sh.Field(values(flat))
                 origin = base[row] + far[row]
                 first, last = np.maximum(blk * block, near[row]), np.minimum(blk * block + block - 1, far[row])
                 core = rolling.hash(origin - blk * block, origin - (blk * block + block - 1) + window)

@@ -9,6 +9,7 @@ sequences hold only bytes of 0x80 and more, so byte-wise splitting is exact.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,6 +44,15 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 BYTE_VALUE = _splitmix(256, 0x5851F42D4C957F2D)
+#: Words longer than this are hashed by the library, one by one.
+LONG_WORD = 64
+#: The low bytes of a 64-bit number, by how many.
+_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=U64)
+#: The field that decides on long strings: whole numbers modulo a prime.
+PRIME = (1 << 61) - 1
+_P = U64(PRIME)
+_BASE = 0x0F2D4C957F2D5851 % PRIME
+_FIELD_BLOCK = 1 << 13
 
 
 class _Powers:
@@ -81,6 +91,62 @@ class Rolling:
         return mix((self.sums[k:] - self.sums[:-k]) * self.down[:n] + U64(k))
 
 
+def _reduced(x: np.ndarray) -> np.ndarray:
+    x = (x & _P) + (x >> U64(61))
+    # x - PRIME wraps around where x is below it.
+    return np.minimum(x, x - _P)
+
+
+def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo PRIME, elementwise; b is below PRIME."""
+    a = (a & _P) + (a >> U64(61))
+    ah, al, bh, bl = a >> U64(31), a & U64(0x7FFFFFFF), b >> U64(31), b & U64(0x7FFFFFFF)
+    mid = ah * bl + al * bh
+    return _reduced(((ah * bh) << U64(1)) + (mid >> U64(30)) + ((mid & U64(0x3FFFFFFF)) << U64(31)) + al * bl)
+
+
+class _FieldPowers:
+    def __init__(self) -> None:
+        self.up, self.down = (np.ones(1, dtype=U64) for _ in range(2))
+
+    def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        while len(self.up) < n:
+            size = len(self.up)
+            for name, base in (("up", _BASE), ("down", pow(_BASE, -1, PRIME))):
+                mine = getattr(self, name)
+                setattr(self, name, np.concatenate([mine, times(mine, np.full(size, pow(base, size, PRIME), dtype=U64))]))
+        return self.up[:n], self.down[:n]
+
+
+_FIELD_POWERS = _FieldPowers()
+
+
+class Field:
+    """Hashes of any substring of a sequence of symbols (any 64-bit numbers; those
+    that agree modulo PRIME are one symbol), as polynomials over the field: two different strings of n symbols agree with a chance of n / PRIME, and
+    no structure of theirs (such as Thue-Morse) makes them agree."""
+
+    def __init__(self, symbols: np.ndarray) -> None:
+        up, self.down = _FIELD_POWERS.get(len(symbols) + 1)
+        self.sums = np.zeros(len(symbols) + 1, dtype=U64)
+        last = U64(0)
+        # Block by block, as what a block needs stays in the processor's cache.
+        for at in range(0, len(symbols), _FIELD_BLOCK):
+            part = symbols[at : at + _FIELD_BLOCK]
+            terms = times(part, up[at : at + len(part)])
+            high, low = np.cumsum(terms >> U64(31)), np.cumsum(terms & U64(0x7FFFFFFF))
+            # high * 2**31 + low, without leaving 64 bits.
+            sums = (high >> U64(30)) + ((high & U64(0x3FFFFFFF)) << U64(31))
+            sums += low
+            sums += last
+            self.sums[at + 1 : at + 1 + len(part)] = sums = _reduced(sums)
+            last = sums[-1]
+
+    def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        part = _reduced(self.sums[end] + (_P - self.sums[start]))
+        return mix(times(part, self.down[start]) ^ mix((end - start).astype(U64)))
+
+
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column and its offsets; nulls are empty."""
     column = column.cast(pa.large_string()) if not pa.types.is_large_string(column.type) else column
@@ -121,11 +187,26 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word."""
+    """A 64-bit hash of each word: eight bytes after eight go through the mixer,
+    which isn't linear, so no kind of word collides by its structure."""
     if not len(starts):
         return np.zeros(0, dtype=U64)
-    rolling = Rolling(BYTE_VALUE[data])
-    return rolling.hash(starts, ends)
+    padded = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
+    eight = np.ndarray(len(data) + 1, dtype="<u8", buffer=padded, strides=(1,))
+    sizes = ends - starts
+    out = mix(sizes.astype(U64) + U64(0x9E3779B97F4A7C15))
+    at = np.arange(len(starts))
+    for done in range(0, LONG_WORD, 8):
+        left = np.minimum(sizes[at] - done, 8).astype(U64)
+        piece = eight[starts[at] + done] & _BYTES[left]
+        out[at] = mix(out[at] ^ mix(piece + U64(0xD1B54A32D192ED03)))
+        at = at[sizes[at] > done + 8]
+        if not len(at):
+            return out
+    for k in at.tolist():
+        digest = hashlib.blake2b(data[starts[k] : ends[k]].tobytes(), digest_size=8).digest()
+        out[k] = int.from_bytes(digest, "little")
+    return out
 
 
 def shingle_hashes(words: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -185,4 +266,4 @@ def window_runs(symbols: np.ndarray, offsets: np.ndarray, window: int, gram: int
     base = offsets[:-1][row[lo]]
     s, e, a = start[lo], start[hi], anchor[lo]
     shape = ((a - s) * (window + 1) + (a - e)).astype(U64)
-    return {"row": row[lo], "anchor": a - base, "lo": s - base, "hi": e - base, "gram": grams[a], "full": mix(rolling.hash(s, e + window) ^ mix(shape))}
+    return {"row": row[lo], "anchor": a - base, "lo": s - base, "hi": e - base, "gram": grams[a], "full": mix(Field(symbols).hash(s, e + window) ^ mix(shape))}
