@@ -62,16 +62,24 @@ def segment_distance(p: Column, a: Column, b: Column) -> Column:
     return F.when(square < 1e-12, length(a, p)).otherwise(F.hypot(p["x"] - (a["x"] + t * dx), p["y"] - (a["y"] + t * dy)))
 
 
-def turn(a: Column, b: Column, c: Column) -> Column:
-    """Twice the area of a triangle on the grid, as an exact decimal."""
-    d = lambda x: x.cast("decimal(18,0)")
+def turn(a: Column, b: Column, c: Column, kind: str = "decimal(18,0)") -> Column:
+    """Twice the area of a triangle on the grid, exactly: as a decimal, or as a
+    bigint where differences are known to stay below 2**31."""
+    d = lambda x: x.cast(kind)
     return (d(b["x"]) - d(a["x"])) * (d(c["y"]) - d(a["y"])) - (d(b["y"]) - d(a["y"])) * (d(c["x"]) - d(a["x"]))
 
 
-def proper_cross(p: Column, q: Column) -> Column:
+def proper_cross(p: Column, q: Column, kind: str = "decimal(18,0)") -> Column:
     """Segments cross; a turn of zero counts as to the right."""
-    left = (turn(p["a"], p["b"], q["a"]) > 0) != (turn(p["a"], p["b"], q["b"]) > 0)
-    return left & ((turn(q["a"], q["b"], p["a"]) > 0) != (turn(q["a"], q["b"], p["b"]) > 0))
+    left = (turn(p["a"], p["b"], q["a"], kind) > 0) != (turn(p["a"], p["b"], q["b"], kind) > 0)
+    return left & ((turn(q["a"], q["b"], p["a"], kind) > 0) != (turn(q["a"], q["b"], p["b"], kind) > 0))
+
+
+def boxes_meet(p: Column, q: Column) -> Column:
+    """The boxes around two segments share a point, as those that cross do."""
+    low = lambda e, c: F.least(e["a"][c], e["b"][c])
+    high = lambda e, c: F.greatest(e["a"][c], e["b"][c])
+    return (low(p, "x") <= high(q, "x")) & (low(q, "x") <= high(p, "x")) & (low(p, "y") <= high(q, "y")) & (low(q, "y") <= high(p, "y"))
 
 
 def _in_box(a: Column, b: Column, p: Column) -> Column:

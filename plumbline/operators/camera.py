@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions import geometry as g
+from plumbline.operators.cells import points_in_boxes, segment_box
 from plumbline.operators.compile import Model
 from plumbline.operators.findings import finding, union
 from plumbline.plans.stages import settled
@@ -21,13 +22,15 @@ COLLINEAR_M = 0.02
 
 def free_space(points: DataFrame, model: Model) -> DataFrame:
     """points: plan_id, room_id, point, polygon.  One row for each violation:
-    code and what is violated.  Joins are by plan, with the clearance as residual."""
+    code and what is violated.  Joins are by plan (and cell, in large plans), with
+    the clearance as residual."""
     p = F.col("point")
+    at = points.select("*", F.col("point.x").alias("px"), F.col("point.y").alias("py"))
     outside = points.where(~g.inside(p, F.col("polygon"))).select("plan_id", "room_id", F.lit("CAM_VIEWPOINT_OUTSIDE_ROOM").alias("code"), F.col("room_id").alias("source_ref"))
-    wall = model.wall.select("plan_id", F.col("id").alias("source_ref"), "start", "end", "thickness_m")
-    near_wall = points.join(wall, "plan_id").where(g.segment_distance(p, F.col("start"), F.col("end")) < F.col("thickness_m") / 2 + WALL_MARGIN_M)
-    opening = model.opening.select("plan_id", F.col("id").alias("source_ref"), "center")
-    near_opening = points.join(opening, "plan_id").where(g.length(p, F.col("center")) < OPENING_CLEARANCE_M)
+    wall = model.wall.select("plan_id", F.col("id").alias("source_ref"), "start", "end", "thickness_m", *segment_box(F.col("start"), F.col("end"), F.col("thickness_m") / 2 + WALL_MARGIN_M))
+    near_wall = points_in_boxes(at, wall).where(g.segment_distance(p, F.col("start"), F.col("end")) < F.col("thickness_m") / 2 + WALL_MARGIN_M)
+    opening = model.opening.select("plan_id", F.col("id").alias("source_ref"), "center", *segment_box(F.col("center"), F.col("center"), OPENING_CLEARANCE_M))
+    near_opening = points_in_boxes(at, opening).where(g.length(p, F.col("center")) < OPENING_CLEARANCE_M)
     pick = lambda df, code: df.select("plan_id", "room_id", F.lit(code).alias("code"), "source_ref")
     return union([outside, pick(near_wall, "CAM_VIEWPOINT_COLLIDES_WALL"), pick(near_opening, "CAM_VIEWPOINT_COLLIDES_OPENING")])
 
@@ -75,11 +78,16 @@ def _is_inside(px: float, py: float, ring) -> bool:
 def pull_back(blocked: DataFrame, model: Model) -> DataFrame:
     """blocked: plan_id, room_id, point, polygon.  The point after at most 40
     steps away from what is too close; it ends early outside the room or 2 m
-    away.  Rows travel with their plan's walls and openings as arrays (plans are
-    capped at some 40,000 of them), so a task works on single rows."""
-    walls = model.wall.groupBy("plan_id").agg(F.array_sort(F.collect_list(F.struct("ord", F.col("start.x").alias("ax"), F.col("start.y").alias("ay"), F.col("end.x").alias("bx"), F.col("end.y").alias("by"), (F.col("thickness_m") / 2 + WALL_MARGIN_M).alias("need")))).alias("walls"))
-    openings = model.opening.groupBy("plan_id").agg(F.array_sort(F.collect_list(F.struct("ord", F.col("center.x").alias("cx"), F.col("center.y").alias("cy")))).alias("openings"))
-    rows = blocked.select("plan_id", "room_id", "point", "polygon").join(walls, "plan_id", "left").join(openings, "plan_id", "left")
+    away.  Rows travel with the walls and openings that a point can come near to on
+    its way, so a task works on single rows."""
+    reach = PULL_MAX_M + 2 * PULL_STEP_M
+    at = blocked.select("plan_id", "room_id", F.col("point.x").alias("px"), F.col("point.y").alias("py"))
+    need = F.col("thickness_m") / 2 + WALL_MARGIN_M
+    walls = model.wall.select("plan_id", F.struct("ord", F.col("start.x").alias("ax"), F.col("start.y").alias("ay"), F.col("end.x").alias("bx"), F.col("end.y").alias("by"), need.alias("need")).alias("w"), *segment_box(F.col("start"), F.col("end"), need + reach))
+    openings = model.opening.select("plan_id", F.struct("ord", F.col("center.x").alias("cx"), F.col("center.y").alias("cy")).alias("o"), *segment_box(F.col("center"), F.col("center"), OPENING_CLEARANCE_M + reach))
+    near = lambda boxes, c, name: points_in_boxes(at, boxes).groupBy("plan_id", "room_id").agg(F.array_sort(F.collect_list(c)).alias(name))
+    keys = ["plan_id", "room_id"]
+    rows = blocked.select(*keys, "point", "polygon").join(near(walls, "w", "walls"), keys, "left").join(near(openings, "o", "openings"), keys, "left")
 
     def run(batches):
         for df in batches:
@@ -157,7 +165,8 @@ def door_rooms(model: Model, views: DataFrame) -> DataFrame:
     wall = model.wall.groupBy("plan_id", F.col("id").alias("w")).agg(F.first("start").alias("a"), F.first("end").alias("b"))
     edges = model.room.select("plan_id", F.col("id").alias("room_id"), F.explode(g.ring_edges(F.col("polygon"))).alias("e")).join(views.select("plan_id", "room_id").distinct(), ["plan_id", "room_id"], "left_semi")
     used = wall.join(doors.select("plan_id", "w").distinct(), ["plan_id", "w"], "left_semi")
-    touching = used.join(edges, "plan_id").where(wall_in_edge(F.col("a"), F.col("b"), F.col("e.a"), F.col("e.b")))
+    boxes = edges.select("*", *segment_box(F.col("e.a"), F.col("e.b"), 2 * COLLINEAR_M))
+    touching = points_in_boxes(used.select("*", F.col("a.x").alias("px"), F.col("a.y").alias("py")), boxes).where(wall_in_edge(F.col("a"), F.col("b"), F.col("e.a"), F.col("e.b")))
     rooms = touching.groupBy("plan_id", "w").agg(F.array_sort(F.collect_set("room_id")).alias("rooms"))
     return doors.join(rooms, ["plan_id", "w"], "left")
 

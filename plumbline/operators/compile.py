@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from plumbline.functions import geometry as g
 from plumbline.functions.numeric import QUANTUM_M
 from plumbline.operators.findings import finding, union
-from plumbline.operators.normalize import OPENING_OFFSET_M, Normalized
+from plumbline.operators.cells import FAR_M, points_in_boxes, segment_box
+from plumbline.operators.normalize import OPENING_OFFSET_M, Normalized, Normalizing
 from plumbline.plans.stages import settled
 
 WALL_THICKNESS_M, WALL_HEIGHT_M, CEILING_M = 0.10, 2.60, 2.60
@@ -43,7 +44,7 @@ def derived_id(kind: str, of) -> F.Column:
     return F.concat(F.lit(f"g{kind[0]}-"), F.substring(F.sha2(F.concat(F.lit(f"geom-{kind}|"), of), 256), 1, 12))
 
 
-def compile_model(n: Normalized, thickness: DataFrame | None = None) -> Model:
+def compile_model(n: Normalizing | Normalized, thickness: DataFrame | None = None) -> Model:
     """thickness: plan_id, id, thickness_m of walls that have one."""
     wall = n.wall.select("plan_id", "ord", F.col("id").alias("parse_id"), F.col("start_m").alias("start"), F.col("end_m").alias("end"))
     if thickness is not None:
@@ -104,10 +105,14 @@ def loose_walls(wall: DataFrame, room: DataFrame, tolerance: float = VERTEX_TOLE
 def unsupported_edges(wall: DataFrame, room: DataFrame) -> DataFrame:
     """Room edges that lie within no wall (one row for each edge)."""
     edges = room.select("plan_id", "id", F.posexplode(g.ring_edges(F.col("polygon"))).alias("k", "e"))
-    w = wall.select("plan_id", F.col("start").alias("a"), F.col("end").alias("b"))
+    # A wall without a length holds any point.
+    point = (F.col("start.x") == F.col("end.x")) & (F.col("start.y") == F.col("end.y"))
+    wider = F.when(point, F.lit(FAR_M)).otherwise(F.lit(2 * OPENING_OFFSET_M))
+    w = wall.select("plan_id", F.col("start").alias("a"), F.col("end").alias("b"), *segment_box(F.col("start"), F.col("end"), wider))
     n = g.length(F.col("a"), F.col("b"))
+    starts = edges.select("*", F.col("e.a.x").alias("px"), F.col("e.a.y").alias("py"))
     holds = lambda p: (F.coalesce(g.offset(p, F.col("a"), F.col("b")), F.lit(0.0)) <= OPENING_OFFSET_M) & F.coalesce(g.along(p, F.col("a"), F.col("b")), F.lit(0.0)).between(F.lit(-QUANTUM_M), n + QUANTUM_M)
-    held = edges.join(w, "plan_id").where(holds(F.col("e.a")) & holds(F.col("e.b"))).select("plan_id", "id", "k").distinct()
+    held = points_in_boxes(starts, w).where(holds(F.col("e.a")) & holds(F.col("e.b"))).select("plan_id", "id", "k").distinct()
     return edges.join(held, ["plan_id", "id", "k"], "left_anti")
 
 

@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions import geometry as g
-from plumbline.functions.numeric import QUANTUM_M
+from plumbline.functions.numeric import GRID, QUANTUM_M, metres
+from plumbline.operators.cells import meeting_boxes
 from plumbline.operators.findings import finding, union
-from plumbline.operators.normalize import OPENING_OFFSET_M, PENDING, Normalized
+from plumbline.operators.normalize import MAX_COORDINATE_M, OPENING_OFFSET_M, PENDING, Normalized, Normalizing
+from plumbline.plans.stages import settled
 
 DEGENERATE_WALL_M, LOW_CONFIDENCE, MAX_VERTICES = 0.05, 0.5, 10_000
 LIMITS = {"wall": 20_000, "room": 5_000, "opening": 20_000}
@@ -37,15 +39,31 @@ def ring_faults(room: DataFrame) -> DataFrame:
 
 
 def crossing_rooms(room: DataFrame) -> DataFrame:
-    """Pairs of rooms of one plan whose borders cross: an equi-join by plan with
-    a box test, which can lose no crossing, before the edges are compared."""
+    """Pairs of rooms of one plan whose borders cross: a join of boxes that meet,
+    which loses no crossing, then of their edges, one by one in generated code."""
     box = lambda f, c: f(F.transform("ring_g", lambda p: p[c]))
-    r = room.where(F.size("ring_g") > 0).select("plan_id", "ord", "source_ref", "ring_g", box(F.array_min, "x").alias("x0"), box(F.array_max, "x").alias("x1"), box(F.array_min, "y").alias("y0"), box(F.array_max, "y").alias("y1"))
-    a, b = r.alias("a"), r.alias("b")
-    meet = (F.col("a.ord") < F.col("b.ord")) & (F.col("a.x0") <= F.col("b.x1")) & (F.col("b.x0") <= F.col("a.x1")) & (F.col("a.y0") <= F.col("b.y1")) & (F.col("b.y0") <= F.col("a.y1")) & (F.col("a.ring_g") != F.col("b.ring_g"))
-    pairs = a.join(b, (F.col("a.plan_id") == F.col("b.plan_id")) & meet)
-    crosses = F.exists(g.ring_edges(F.col("a.ring_g")), lambda e: F.exists(g.ring_edges(F.col("b.ring_g")), lambda f: g.proper_cross(e, f)))
-    return pairs.where(crosses).select(F.col("a.plan_id").alias("plan_id"), F.least("a.source_ref", "b.source_ref").alias("source_ref"))
+    limit = MAX_COORDINATE_M * GRID
+    # Within the bounds, products of differences are below 2**62: exact as integers.
+    plain = F.forall("ring_g", lambda p: (F.abs(p["x"]) <= limit) & (F.abs(p["y"]) <= limit))
+    r = room.where(F.size("ring_g") > 0).select("plan_id", "ord", "source_ref", "ring_g", g.ring_edges(F.col("ring_g")).alias("edges"), plain.alias("plain"), *(metres(box(f, c)).alias(f"{c}{k}") for k, f in enumerate((F.array_min, F.array_max)) for c in "xy"))
+    pairs = meeting_boxes(settled(r), "source_ref", "ring_g", "edges", "plain").where(F.col("a_ring_g") != F.col("b_ring_g"))
+    pairs = pairs.select("plan_id", "a_ord", "b_ord", F.least("a_source_ref", "b_source_ref").alias("source_ref"), (F.col("a_plain") & F.col("b_plain")).alias("plain"), "b_edges", F.explode("a_edges").alias("e"))
+    pairs = pairs.select("plan_id", "a_ord", "b_ord", "source_ref", "plain", "e", F.explode("b_edges").alias("f"))
+    e, f = F.col("e"), F.col("f")
+    crosses = F.when(F.col("plain"), g.proper_cross(e, f, "bigint")).otherwise(g.proper_cross(e, f))
+    found = pairs.where(g.boxes_meet(e, f) & crosses)
+    return found.select("plan_id", "a_ord", "b_ord", "source_ref").distinct().select("plan_id", "source_ref")
+
+
+def degenerate_walls(wall: DataFrame) -> DataFrame:
+    short = g.length(F.col("start_m"), F.col("end_m")) < DEGENERATE_WALL_M
+    return finding(wall.where(short), "PARSE_DEGENERATE_WALL", "wall is shorter than minimum", F.col("source_ref"))
+
+
+def dimension_faults(dimension: DataFrame) -> DataFrame:
+    gap = F.abs(g.length(F.col("a_m"), F.col("b_m")) - F.col("declared_m"))
+    wrong = dimension.where(gap > F.greatest(F.lit(0.02), F.abs("declared_m") * 0.01))
+    return finding(wrong, "PARSE_DIMENSION_INCONSISTENT", "declared dimension differs from measured geometry")
 
 
 def opening_faults(opening: DataFrame, wall: DataFrame) -> DataFrame:
@@ -79,12 +97,13 @@ def _faults(df: DataFrame, ref) -> DataFrame:
     return df.where("fault is not null").select("plan_id", code.alias("code"), pick(0).alias("severity"), pick(1).alias("tier"), ref.cast("string").alias("source_ref"), F.col("fault.message").alias("message"))
 
 
-def validate(n: Normalized) -> DataFrame:
+def validate(n: Normalizing | Normalized) -> DataFrame:
     """All findings of the parse stage (distinct; see findings.precedence)."""
+    n = n.settled() if isinstance(n, Normalizing) else n
     ref = F.col("source_ref")
     none = F.lit(None).cast("string")
     long = g.length(F.col("start_m"), F.col("end_m"))
-    parts = [n.finding, finding(n.wall.where(long < DEGENERATE_WALL_M), "PARSE_DEGENERATE_WALL", "wall is shorter than minimum", ref)]
+    parts = [n.finding, degenerate_walls(n.wall)]
     wall_twice, room_twice = duplicates(n.wall, "start_g", "end_g"), duplicates(n.room, "ring_g")
     opening_twice = duplicates(n.opening, "type", "wall_id", "center_g", "width_g")
     for kind, table, twice in (("wall", n.wall, wall_twice), ("room", n.room, room_twice), ("opening", n.opening, opening_twice)):
@@ -93,8 +112,7 @@ def validate(n: Normalized) -> DataFrame:
         parts.append(finding(table.groupBy("plan_id").count().where(F.col("count") > LIMITS[kind]), "PARSE_RESOURCE_LIMIT", f"{kind} count exceeds configured limit"))
     rings = ring_faults(n.room)
     parts += [_faults(rings, ref), finding(crossing_rooms(n.room), "PARSE_ROOM_BOUNDARY_UNMATCHED", "room boundaries cross", ref), _faults(opening_faults(n.opening, n.wall), none)]
-    gap = F.abs(g.length(F.col("a_m"), F.col("b_m")) - F.col("declared_m"))
-    parts.append(finding(n.dimension.where(gap > F.greatest(F.lit(0.02), F.abs("declared_m") * 0.01)), "PARSE_DIMENSION_INCONSISTENT", "declared dimension differs from measured geometry"))
+    parts.append(dimension_faults(n.dimension))
     # No usable wall and no usable room, though there are walls and rooms.
     first_wall = n.wall.withColumn("k", F.row_number().over(Window.partitionBy("plan_id", "start_g", "end_g").orderBy("ord")))
     first_room = rings.withColumn("k", F.row_number().over(Window.partitionBy("plan_id", "ring_g").orderBy("ord")))

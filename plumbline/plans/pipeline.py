@@ -36,7 +36,7 @@ def _passed(status: DataFrame) -> DataFrame:
 
 
 def run(plans: Plans) -> Result:
-    n = normalize.normalize(plans)
+    n = normalize.normalize(plans).settled()
     # What the source reported belongs to the parse stage.
     found = settled(findings.distinct(parse_checks.validate(n).unionByName(plans.finding)))
     everyone = plans.frame.select("plan_id").unionByName(plans.finding.select("plan_id")).distinct()

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 POINT = "struct<x: double, y: double>"
 FRAME = "plan_id string, kind string, unit_scale_m double, y_down boolean, height_px int, source_units string"
@@ -30,7 +31,12 @@ class Plans:
 
 def plans(spark: SparkSession, frame=(), wall=(), room=(), opening=(), dimension=(), finding=()) -> Plans:
     """Plans from literal rows."""
-    make = lambda rows, schema: spark.createDataFrame(list(rows), schema)
+
+
+    def make(rows, schema: str) -> DataFrame:
+        # Known to be empty when it is: the optimizer then drops what reads it.
+        return spark.createDataFrame(list(rows), schema) if rows else spark.createDataFrame([], schema).where(F.lit(False))
+
     return Plans(make(frame, FRAME), make(wall, WALL), make(room, ROOM), make(opening, OPENING), make(dimension, DIMENSION), make(finding, FINDING))
 
 

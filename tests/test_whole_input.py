@@ -6,7 +6,7 @@ from plumbline.plans.registry import QUERIES
 def test_every_event_is_an_anchor(spark, tmp_path):
     rows = [(i, i % 3) for i in range(400)]
     spark.createDataFrame(rows, "event_id long, user_id long").write.parquet(str(tmp_path / "events.parquet"))
-    got = QUERIES["scale_fit_all"](spark, str(tmp_path)).collect()
+    got = QUERIES["scale_fit"](spark, str(tmp_path)).collect()
     assert sum(r.anchors for r in got) == len(rows)
     assert all((r.m_per_px is None) == (r.anchors < 3) for r in got)
 
@@ -22,7 +22,5 @@ def test_every_side_of_every_room_is_a_wall(spark, tmp_path):
         near = sum(max(a - cx, 0, cx - c) ** 2 + max(b - cy, 0, cy - d) ** 2 < 415**2 for a, b, c, d in sides)
         if near:
             want[k] = near
-    got = {r.idx: r.walls for r in QUERIES["free_space_all"](spark, str(tmp_path)).collect()}
+    got = {r.idx: r.walls for r in QUERIES["free_space"](spark, str(tmp_path)).collect()}
     assert got == want
-    old = QUERIES["free_space"](spark, str(tmp_path)).collect()
-    assert sum(got.values()) > 4 * sum(r.walls for r in old)
