@@ -30,10 +30,10 @@ BROADCAST_EDGES = 500_000
 
 
 def compact(whole: DataFrame, window: int, work: Work) -> DataFrame:
-    """Nonbranching paths of repeated edges at their places: uid, start, stop.
+    """Nonbranching paths of repeated edges at their places: uid, start, stop, path.
 
-    A path's id is not needed to cut it out, so only its coordinates are kept;
-    windows are by row, and hold no more than its edges."""
+    path: an id of what the path reads (its first and last edge, and how many), the
+    same wherever it stands; windows are by row, and hold no more than its edges."""
     by_row = Window.partitionBy("uid").orderBy("lo")
     edges = whole.select("uid", repeats.run_lo().alias("lo"), repeats.run_hi().alias("hi"), F.xxhash64("gram", "full").alias("edge"))
     edges = edges.distinct()  # equal rows have equal edges
@@ -51,21 +51,23 @@ def compact(whole: DataFrame, window: int, work: Work) -> DataFrame:
     begins = F.coalesce(F.lag("joined").over(by_row), F.lit(0)) == 0
     joined = joined.withColumn("begins", (begins | (F.lag("hi").over(by_row) + 1 != F.col("lo"))).cast("int"))
     joined = joined.withColumn("path", F.sum("begins").over(by_row))
-    paths = joined.groupBy("uid", "path").agg(F.min("lo").alias("start"), (F.max("hi") + window).alias("stop"))
-    return paths.select("uid", "start", "stop")
+    # As a path has no branch, its first edge and its length tell all edges of it.
+    paths = joined.groupBy("uid", "path").agg(F.min("lo").alias("start"), (F.max("hi") + window).alias("stop"), F.min(F.struct("lo", "edge")).alias("first"), F.max(F.struct("lo", "edge")).alias("last"), F.count("*").alias("edges"))
+    return paths.select("uid", "start", "stop", F.xxhash64("first.edge", "last.edge", "edges", F.col("stop") - F.col("start")).alias("path"))
 
 
 def dedup(docs: DataFrame, window: int = WINDOW, extra: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, n_words, n_removed, spans (start, stop in words), kept (words
-    joined by one space) and text_kept (the text without the removed words and
+    """doc_id, n_words, n_removed, spans (start, stop in words), paths (start, stop
+    and path: compacted repeats and what they read), kept (words joined by one space)
+    and text_kept (the text without the removed words and
     the gaps after them) and `extra` columns of every row of docs (doc_id, text)."""
     gram = max(1, min(GRAM, window // 4))
     work = Work(docs.sparkSession, "debruijn", docs)
     types = dict(docs.dtypes)
     held = [f"extra{i}" for i in range(len(extra))]
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *(F.col(c).alias(h) for c, h in zip(extra, held))).withColumn("uid", row_key("doc_id", "text"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *(F.col(f"`{c}`").alias(h) for c, h in zip(extra, held))).withColumn("uid", row_key("doc_id", "text"))
     whole, found = repeats.repeated(docs, work, "words", window, gram, BLOCKS)
-    spans = compact(whole, window, work).unionByName(found)
+    spans = compact(whole, window, work).unionByName(found.withColumn("path", F.lit(None).cast("long")))
 
     def cut(batches):
         for b in batches:
@@ -74,8 +76,9 @@ def dedup(docs: DataFrame, window: int = WINDOW, extra: tuple[str, ...] = ()) ->
                 d, o = data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
                 starts, ends, rows = word_bounds(d, o)
                 cover = np.zeros(len(starts) + 1, dtype=np.int64)
-                removed = []
+                removed, paths = [], []
                 for row in range(lo, hi):
+                    paths.append(sorted((p for p in b.column("spans")[row].as_py() or [] if p["path"] is not None), key=lambda p: p["start"]))
                     s, e = repeats.row_spans(b.column("spans"), row)
                     removed.append([{"start": x, "stop": y} for x, y in zip(s.tolist(), e.tolist())])
                     np.add.at(cover, s + rows[row - lo], 1)
@@ -102,13 +105,14 @@ def dedup(docs: DataFrame, window: int = WINDOW, extra: tuple[str, ...] = ()) ->
                     n_words=np.diff(rows).astype(np.int64),
                     n_removed=np.add.reduceat(np.concatenate([~keep, [False]]).astype(np.int64), rows[:-1]) * (np.diff(rows) > 0),
                     spans=pa.array(removed, type=pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))),
+                    paths=pa.array(paths, type=pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("path", pa.int64())]))),
                     kept=pa.array(kept, type=pa.string()),
                     text_kept=pa.array(texts, type=pa.string()),
                     **{h: b.column(h).slice(lo, hi - lo) for h in held},
                 )
 
-    rows = repeats.with_spans(docs, spans).select("doc_id", "text", "spans", *held)
-    schema = "doc_id long, n_words long, n_removed long, spans array<struct<start: long, stop: long>>, kept string, text_kept string"
+    rows = repeats.with_spans(docs, spans, "path").select("doc_id", "text", "spans", *held)
+    schema = "doc_id long, n_words long, n_removed long, spans array<struct<start: long, stop: long>>, paths array<struct<start: long, stop: long, path: long>>, kept string, text_kept string"
     out = rows.mapInArrow(cut, ", ".join([schema, *(f"{h} {types[c]}" for c, h in zip(extra, held))]))
     return work.few(out).withColumnsRenamed(dict(zip(held, extra)))
 
@@ -116,11 +120,14 @@ def dedup(docs: DataFrame, window: int = WINDOW, extra: tuple[str, ...] = ()) ->
 def passage_free(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """docs with the repeated passages cut from their texts, and n_chars (where
     there is such a column) counted anew for texts that changed."""
-    extra = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_words", "n_removed", "spans", "kept", "text_kept"))
-    out = dedup(docs, window, extra).withColumn("text", F.col("text_kept"))
+    extra = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
+    # Held under names of their own, as they may be called like a result's column.
+    held = {c: f"held{i}_{c}" for i, c in enumerate(extra)}
+    out = dedup(docs.withColumnsRenamed(held), window, tuple(held.values()))
+    kept = {"text": F.col("text_kept"), "doc_id": F.col("doc_id")} | {c: F.col(f"`{h}`") for c, h in held.items()}
     if "n_chars" in extra:
-        out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.select(*[c for c in docs.columns if c in extra or c in ("doc_id", "text")])
+        kept["n_chars"] = F.when(F.col("n_removed") > 0, F.length("text_kept").cast(dict(docs.dtypes)["n_chars"])).otherwise(kept["n_chars"])
+    return out.select(*[kept[c].alias(c) for c in docs.columns])
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

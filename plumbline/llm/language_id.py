@@ -13,17 +13,19 @@ trigrams, and only the counts go to the driver.
 Edge cases: a text that is null or has no letter is `und`, score 0; with no
 labelled rows at all every text is `und`; with one language every text with a
 letter is that language, score 1; ties go to the language that sorts first;
-null labels are not learned from; lang, source and doc_id aren't features.
+null labels are not learned from; lang, source and doc_id aren't features; rows
+with a null doc_id are learned from and predicted (held_out: false); columns named
+lang_pred or score give way to the result's; more than MOST_LANGUAGES labels are an
+error.
 """
 
 from __future__ import annotations
 
 import itertools
-import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm import seqhash as sh
@@ -33,6 +35,8 @@ PER_LANGUAGE = 1500
 BUCKETS = 1 << 15
 EPOCHS, REGULARISATION = 12, 1e-4
 UNKNOWN = "und"
+#: Machines grow with the square of the languages.
+MOST_LANGUAGES = 500
 
 #: Families of common languages; a language that isn't listed is its own family.
 FAMILIES = {
@@ -52,7 +56,11 @@ FAMILY_OF = {lang: family for family, langs in FAMILIES.items() for lang in lang
 FOLD = np.full(256, 0x20, dtype=np.uint8)
 FOLD[ord("a") : ord("z") + 1] = FOLD[ord("A") : ord("Z") + 1] = np.arange(ord("a"), ord("z") + 1)
 FOLD[0x80:] = np.arange(0x80, 256)
-_LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str) -> bool:
+    """Whether a character is of Unicode's category L (which isalpha() tests)."""
+    return any(map(str.isalpha, text))
 
 
 def trigrams(data: np.ndarray) -> np.ndarray:
@@ -172,9 +180,12 @@ def linear_svm(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, seed: i
 
 
 def counted(docs: DataFrame) -> DataFrame:
-    """pick, at (buckets, as 16-bit numbers) and n (counts, as 64-bit numbers) of the
+    """All columns but text, at (buckets, as 16-bit numbers) and n (counts, as 64-bit numbers) of the
     trigrams of each whole text."""
 
+    types = dict(docs.dtypes)
+    kept = [c for c in docs.columns if c != "text"]
+
     def run(b: pa.RecordBatch):
         data, offsets = sh.text_buffer(b.column("text"))
         at, n = [], []
@@ -189,24 +200,30 @@ def counted(docs: DataFrame) -> DataFrame:
             found = np.flatnonzero(total)
             at.append(found.astype(np.uint16).tobytes())
             n.append(total[found].tobytes())
-        yield batch(pick=b.column("pick"), at=pa.array(at, pa.binary()), n=pa.array(n, pa.binary()))
+        yield batch(**{c: b.column(c) for c in kept}, at=pa.array(at, pa.binary()), n=pa.array(n, pa.binary()))
 
-    return map_batches(docs.select("pick", "text"), run, "pick long, at binary, n binary")
+    return map_batches(docs, run, "".join(f"`{c}` {types[c]}, " for c in kept) + "at binary, n binary")
 
 
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     """docs: doc_id, text, lang; a bounded sample of them by a hash of the id."""
-    labelled = docs.where("lang is not null and text is not null").withColumn("pick", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)))
-    counts = {r.lang: r["count"] for r in labelled.groupBy("lang").count().orderBy("lang").collect()}
-    languages = sorted(counts)
-    sample = []
-    for lang in languages:
-        # The rows below a bound on their hash: somewhat more than needed in all,
-        # so no task sends more than its share of them.
-        share = min(1.0, (1.2 * per_language + 100) / counts[lang])
-        mine = labelled.where((F.col("lang") == lang) & (F.col("pick") < int(share * (1 << 40))))
-        sample += [(lang, r.at, r.n) for r in counted(mine).orderBy("pick", "at", "n").limit(per_language).collect()]
+    labelled = docs.where("lang is not null and text is not null").select("lang", "text", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)).alias("pick"))
+    # A row for each language; more than MOST_LANGUAGES of them is an error.
+    counts = [(r.lang, r["count"]) for r in labelled.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()]
+    if len(counts) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages: the column lang doesn't hold languages")
+    languages = sorted(lang for lang, _ in counts)
     model = Model(languages)
+    if not languages:
+        return model
+    # The rows below a bound on their hash: somewhat more than needed in all, so no
+    # task sends more than its share of them.  One pass serves all languages.
+    shares = [(lang, int(min(1.0, (1.2 * per_language + 100) / n) * (1 << 40))) for lang, n in counts]
+    shares = docs.sparkSession.createDataFrame(shares, "lang string, most long")
+    picked = labelled.join(F.broadcast(shares), "lang").where("pick < most")
+    order = Window.partitionBy("lang").orderBy("pick", F.xxhash64("text"))
+    picked = picked.withColumn("k", F.row_number().over(order)).where(F.col("k") <= per_language)
+    sample = [(r.lang, r.at, r.n) for r in sorted(counted(picked.select("lang", "pick", "text")).collect(), key=lambda r: (r.lang, r.pick, r.at, r.n))]
     if len(languages) < 2:
         return model
     rows = []
@@ -234,7 +251,7 @@ def predict(docs: DataFrame, model: Model, keep_text: bool = False) -> DataFrame
             letters = np.concatenate([[0], np.cumsum((fold >= ord("a")) & (fold <= ord("z")))])
             known = letters[o[1:]] > letters[o[:-1]]
             for i in np.flatnonzero(~known):
-                known[i] = bool(_LETTER.search(texts[lo + i].as_py() or ""))
+                known[i] = has_letter(texts[lo + i].as_py() or "")
             known &= bool(m.languages)
             names = [m.languages[k] if ok else UNKNOWN for k, ok in zip(index, known)]
             yield batch(doc_id=b.column("doc_id").slice(lo, hi - lo), **{c: b.column(c).slice(lo, hi - lo) for c in extra}, lang_pred=names, score=np.where(known, score, 0.0))

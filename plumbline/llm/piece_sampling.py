@@ -26,6 +26,7 @@ key counts as 0.
 
 from __future__ import annotations
 
+import math
 from functools import lru_cache
 
 import numpy as np
@@ -40,9 +41,11 @@ ALPHA, SEED = 0.5, 20240601
 MARK, SPACE = 0x2581, 0x20
 #: Stands for a word mark in the text itself, which is spelled in bytes.
 LITERAL_MARK = 0x110000
-SLICE = 1 << 19
+SLICE = 1 << 20
 #: Units longer than this are filtered one by one.
 LONG_UNIT = 48
+#: Places of a long unit whose edges are held at once.
+PLACES = 1 << 14
 
 
 def default_model() -> str:
@@ -207,35 +210,49 @@ def draw(seeds: np.ndarray, step) -> np.ndarray:
 
 
 def _long_unit(p: Pieces, chars: np.ndarray, rolling: sh.Rolling, start: int, size: int, seed: np.uint64) -> np.ndarray:
-    """One long unit: the same two passes, place by place."""
-    ends = start + np.arange(1, size + 1)
-    one = p.char_id[chars[ends - 1]]
-    weight = np.where(one >= 0, p.log_weight[one], p.unknown_log_weight)
-    token = np.where(one >= 0, one, -1 - chars[ends - 1].astype(np.int64))
-    edges = [[(1, t, w)] for t, w in zip(token.tolist(), weight.tolist())]
-    for width in range(2, min(p.longest, size) + 1):
-        at, found = p.find(rolling.hash(ends[width - 1 :] - width, ends[width - 1 :]))
-        for k, i in zip((at + width - 1).tolist(), found.tolist()):
-            edges[k].append((width, i, float(p.log_weight[i])))
-    forward = [0.0]
-    cums = []
-    for q, mine in enumerate(edges, 1):
+    """One long unit: the same two passes, place by place.  Edges are made for some
+    places at a time, and anew on the way back, so memory grows by the forward sums
+    alone (eight bytes a character)."""
+
+    def edges(lo: int, hi: int) -> list[list[tuple[int, int, float]]]:
+        """(width, token, log weight) of the pieces that end at places lo + 1 to hi."""
+        ends = start + np.arange(lo + 1, hi + 1)
+        one = p.char_id[chars[ends - 1]]
+        weight = np.where(one >= 0, p.log_weight[one], p.unknown_log_weight)
+        token = np.where(one >= 0, one, -1 - chars[ends - 1].astype(np.int64))
+        out = [[(1, t, w)] for t, w in zip(token.tolist(), weight.tolist())]
+        for width in range(2, min(p.longest, hi) + 1):
+            first = max(0, width - 1 - lo)
+            at, found = p.find(rolling.hash(ends[first:] - width, ends[first:]))
+            for k, i in zip((at + first).tolist(), found.tolist()):
+                out[k].append((width, i, float(p.log_weight[i])))
+        return out
+
+    def sums(mine, q: int) -> tuple[list[float], float, float]:
         w = [x[2] + forward[q - x[0]] for x in mine]
-        best = max(w)
-        total, cum = 0.0, []
+        best, total, cum = max(w), 0.0, []
         for x in w:
-            total += float(np.exp(x - best)) if x != best else 1.0
+            total += math.exp(x - best) if x != best else 1.0
             cum.append(total)
-        cums.append(cum)
-        forward.append(best + float(np.log(total)))
-    u = draw(np.full(size, seed, dtype=np.uint64), np.arange(size, dtype=np.uint64)).tolist()
-    out, q, step = [], size, 0
+        return cum, best, total
+
+    forward = np.zeros(size + 1)
+    for lo in range(0, size, PLACES):
+        for q, mine in enumerate(edges(lo, min(lo + PLACES, size)), lo + 1):
+            _, best, total = sums(mine, q)
+            forward[q] = best + math.log(total)
+    out, q, step, lo = [], size, 0, size
     while q:
-        cum = cums[q - 1]
-        pick = next((k for k, c in enumerate(cum) if u[step] < c / cum[-1]), len(cum) - 1)
-        width, token_, _ = edges[q - 1][pick]
-        out.append(token_)
-        q -= width
+        if q <= lo:
+            lo = max(0, q - PLACES)
+            held = edges(lo, q)
+            u = draw(np.full(PLACES, seed, dtype=np.uint64), np.arange(step, step + PLACES, dtype=np.uint64)).tolist()
+            since = step
+        mine = held[q - lo - 1]
+        cum, _, total = sums(mine, q)
+        pick = next((k for k, c in enumerate(cum) if u[step - since] < c / total), len(cum) - 1)
+        out.append(mine[pick][1])
+        q -= mine[pick][0]
         step += 1
     return np.array(out[::-1], dtype=np.int64)
 

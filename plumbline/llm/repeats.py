@@ -92,7 +92,7 @@ def run_hi():
 
 def _contexts(docs: DataFrame, wanted: DataFrame, kind: str, window: int) -> DataFrame:
     """The symbols under each wanted run."""
-    per_row = wanted.groupBy("uid").agg(F.collect_list(F.struct("at", "gram", "single")).alias("runs"))
+    per_row = wanted.groupBy("uid").agg(F.collect_set(F.struct("at", "gram", "single")).alias("runs"))
 
     def scan(batches):
         seen: set[int] = set()
@@ -203,7 +203,7 @@ def repeated(docs: DataFrame, work: Work, kind: str, window: int, gram: int, blo
         if block > 1:
             alive = nodes.groupBy("gram", "blk", "core").agg(F.min("me").alias("a"), F.max("me").alias("b"), F.min("full").alias("c"), F.max("full").alias("d"))
             alive = alive.where("a <> b and c <> d").select("gram", "blk", "core")
-            todo = nodes.join(alive, ["gram", "blk", "core"], "left_semi").groupBy("uid", "at").agg(F.collect_list("blk").alias("blocks"))
+            todo = nodes.join(alive, ["gram", "blk", "core"], "left_semi").groupBy("uid", "at").agg(F.collect_set("blk").alias("blocks"))
             rows, parent = contexts.join(todo, ["uid", "at"]), block
         work.release()
     found = spans[0]
@@ -220,10 +220,11 @@ def merged(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts[new], stops[np.concatenate([np.flatnonzero(new)[1:] - 1, [len(stops) - 1]])]
 
 
-def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
+def with_spans(docs: DataFrame, spans: DataFrame, *more: str) -> DataFrame:
     """docs with their spans (array of start, stop; null: none).  Spans of one
-    row are no more than its symbols."""
-    return docs.join(spans.groupBy("uid").agg(F.collect_list(F.struct("start", "stop")).alias("spans")), "uid", "left")
+    row are no more than its symbols, also where many rows are equal (and so share
+    their uid)."""
+    return docs.join(spans.groupBy("uid").agg(F.collect_set(F.struct("start", "stop", *more)).alias("spans")), "uid", "left")
 
 
 def row_spans(spans: pa.Array, row: int) -> tuple[np.ndarray, np.ndarray]:

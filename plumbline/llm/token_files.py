@@ -44,8 +44,8 @@ from plumbline.llm.common import Work, batch, partitions, table
 MAGIC = b"PLMBTOK1"
 BLOCK = 4096
 END_ID = 2
-#: Chunks whose ids a worker remembers.
-REMEMBERED = 800_000
+#: Chunks whose ids a worker remembers, and bytes of them with their ids.
+REMEMBERED, REMEMBERED_BYTES = 800_000, 64 << 20
 _TWO_SPACES = re.compile(r"\s\s")
 
 
@@ -70,6 +70,7 @@ class Encoder:
         special = [t.content for t in self.lib.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
         self.known: dict[str, bytes] = {}
+        self.known_bytes = 0
         vocab = self.lib.get_vocab(with_added_tokens=False)
         self.bytes_of = np.zeros(self.size, dtype=np.int64)
         for token, i in vocab.items():
@@ -115,8 +116,10 @@ class Encoder:
         for i, p, head in zip(rest, parts, heads):
             out[i] = head + b"".join(map(get, p[1:]))
         # What is too much is forgotten again: what came first is the frequent.
-        for c in missing[max(0, len(missing) - max(0, len(known) - REMEMBERED)) :]:
-            del known[c]
+        self.known_bytes += sum(4 * len(c) + len(known[c]) for c in missing)
+        while missing and (len(known) > REMEMBERED or self.known_bytes > REMEMBERED_BYTES):
+            c = missing.pop()
+            self.known_bytes -= 4 * len(c) + len(known.pop(c))
         return out
 
 

@@ -85,14 +85,16 @@ def with_features(pages: DataFrame) -> DataFrame:
     )
 
 
-def with_suffix_statistics(pages: DataFrame, labelled: DataFrame) -> DataFrame:
-    """Smoothed share of blocked urls, and how many there are, by last host label."""
+def with_suffix_statistics(pages: DataFrame, labelled: DataFrame, own: bool = False) -> DataFrame:
+    """Smoothed share of blocked urls, and how many there are, by last host label.
+    own: pages are labelled themselves, and each is left out of its own statistics."""
     stats = labelled.groupBy("suffix").agg(F.sum("blocked").alias("b"), F.count("*").alias("n"))
-    stats = stats.select("suffix", ((F.col("b") + 1) / (F.col("n") + 2)).alias("suffix_blocked"), F.log1p(F.col("n").cast("double")).alias("suffix_log_count"))
     # Small by check, not by hope; beyond the bound it is a plain join.
     small = stats.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     out = pages.join(F.broadcast(stats) if small else stats, "suffix", "left")
-    return out.fillna({"suffix_blocked": 0.5, "suffix_log_count": 0.0})
+    b, n = (F.coalesce(c, F.lit(0)) for c in ("b", "n"))
+    b, n = (b - F.col("blocked"), n - 1) if own else (b, n)
+    return out.withColumn("suffix_blocked", (b + 1) / (n + 2)).withColumn("suffix_log_count", F.log1p(n.cast("double"))).drop("b", "n")
 
 
 class Trees:
@@ -184,7 +186,7 @@ def judge(pages: DataFrame, labels: DataFrame | None = None, rules=RULES) -> Dat
         known = base.where("rule is not null").withColumn("blocked", (F.col("rule_verdict") == "block").cast("int"))
     else:
         known = with_features(with_rule(with_parts(labels.select("page_id", "url", "blocked")), rules))
-    base, sample = with_suffix_statistics(base, known), with_suffix_statistics(known, known)
+    base, sample = with_suffix_statistics(base, known), with_suffix_statistics(known, known, own=True)
     trees = train(sample)
     score = F.lit(0.0) - 1 if trees is None else trees.column()
     out = base.withColumn("score", score)

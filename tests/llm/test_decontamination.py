@@ -55,3 +55,17 @@ def test_no_python_on_executors(spark):
     docs = spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string")
     plan = decontamination.contaminated(docs, spark.createDataFrame(ITEMS, "item_id long, text string"))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|MapInArrow|ArrowEval", plan)
+
+
+def test_null_and_repeated_ids(spark):
+    docs = spark.createDataFrame([(None, "x a b c d e f g y"), (2, "h i j k l m")], "doc_id long, text string")
+    items = [(None, "a b c d e f g"), (None, "h i j k l m"), (4, "a b c d e f g"), (4, "h i j k l m"), (4, "h i j k l m")]
+    got = decontamination.contaminated(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted(((r.doc_id, r.item_id, r.n_item, r.n_found) for r in got), key=str) == sorted([(None, None, 3, 3), (None, 4, 3, 3), (2, None, 2, 2), (2, 4, 2, 2)], key=str)
+
+
+def test_partitions_hold_all_that_can_contain(spark):
+    rows = [(n,) for n in [1, 2, 3, 4, 7, 8, 1000, 65535, 65536, 10**6]]
+    df = spark.createDataFrame(rows, "n long")
+    got = {r.n: r.p for r in df.select("n", decontamination.partition(df.n).alias("p")).collect()}
+    assert got == {n: min(n.bit_length() - 1, decontamination.TOP) for (n,) in rows}

@@ -71,3 +71,43 @@ def test_counts_of_pieces(spark, monkeypatch):
         (r,) = language_id.counted(spark.createDataFrame([(1, text)], "pick long, text string")).collect()
         at, n = np.unique(language_id.trigrams(np.frombuffer((text + "  ").encode(), dtype=np.uint8)), return_counts=True)
         assert np.frombuffer(r.at, dtype=np.uint16).tolist() == at.tolist() and np.frombuffer(r.n, dtype=np.int64).tolist() == n.tolist()
+
+
+def test_letters_are_of_category_l():
+    assert not any(language_id.has_letter(t) for t in ("", "12 ½ ² ① Ⅷ _ -", "\u0301"))
+    assert all(language_id.has_letter(t) for t in ("a", "1é", "語", "ª", "ʰ"))
+
+
+def test_votes_equal_a_plain_loop():
+    import numpy as np
+
+    m = language_id.Model(["de", "en", "es", "fr", "fi", "nl"])
+    margins = np.round(np.random.default_rng(3).normal(size=(300, len(m.machines))), 1).astype(np.float32)
+    index, score = m.decide(margins)
+
+    def plain(row, members, of):
+        won = {x: [0, 0.0, 1.0] for x in members}
+        for k, (a, b) in enumerate(m.machines):
+            if of(a) not in won or of(b) not in won or of(a) == of(b) or (of is not family) != (len(a) == len(b) == 1 and family(a) == family(b)):
+                continue
+            x, y = (of(a), of(b)) if row[k] >= 0 else (of(b), of(a))
+            won[x][0] += 1
+            won[x][2] = min(won[x][2], 1 / (1 + np.exp(-4.0 * abs(float(row[k])))))
+            won[of(a)][1] += row[k]
+            won[of(b)][1] -= row[k]
+        best = max(members, key=lambda x: (won[x][0], won[x][1]))
+        return best, won[best][2]
+
+    family = lambda langs: language_id.FAMILY_OF[langs[0]]
+    for row, i, s in zip(margins, index, score):
+        g, sure = plain(row, sorted(m.groups), family)
+        lang, within = plain(row, m.groups[g], lambda langs: langs[0])
+        assert m.languages[i] == lang and abs(s - min(sure, within)) < 1e-6
+
+
+def test_null_ids_and_clashing_columns(spark):
+    rows = [(None if d % 7 == 0 else d, t, lang, 1.5) for d, t, lang in corpus(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, score double")
+    got = language_id.predict(docs, language_id.train(docs)).collect()
+    assert len(got) == len(rows) and sum(r.doc_id is None for r in got) == sum(r[0] is None for r in rows)
+    assert all(0 <= r.score <= 1 for r in got)

@@ -79,3 +79,19 @@ def test_samples_follow_the_lattice(limit, monkeypatch):
     assert set(found) <= set(want)
     for path, share in want.items():
         assert abs(found[path] / n - share) < 5 * math.sqrt(share * (1 - share) / n) + 1e-3
+
+
+def test_long_units_in_pieces(monkeypatch):
+    """One unit of many places: the same tokens however many places are held at once."""
+    import numpy as np
+
+    p = ps.pieces(ps.default_model(), 0.5)
+    data = np.random.default_rng(7).integers(97, 101, 5000).astype(np.uint8)
+    found = []
+    for places in (64, 1 << 14):
+        monkeypatch.setattr(ps, "PLACES", places)
+        tokens, at = ps.encode_rows(p, data, np.array([0, len(data)]), np.array([3]), 1)
+        back, _ = ps.decode_rows(p, tokens, at)
+        assert (back == data).all() and len(tokens) < 5000
+        found.append(tokens.tolist())
+    assert found[0] == found[1]

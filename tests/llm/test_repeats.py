@@ -89,3 +89,40 @@ def test_long_rows_go_in_pieces(spark, monkeypatch):
     want = [(d, sum(c)) for (d, _), c in zip(rows, brute(texts, 400))]
     got = suffix_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((r.doc_id, sum(s.stop - s.start for s in r.spans)) for r in got) == want
+
+
+def test_paths_name_what_repeats(spark):
+    """Compaction: a passage is one path with one name wherever it stands."""
+    rng = random.Random(8)
+    word = lambda: f"v{rng.randint(0, 10**6)}"
+    long, short = [word() for _ in range(300)], [word() for _ in range(120)]
+    noise = lambda: [word() for _ in range(rng.randint(40, 90))]
+    rows = [(1, noise() + long + noise()), (2, noise() + long + noise() + short), (3, short + noise() + long), (4, noise())]
+    docs = spark.createDataFrame([(d, " ".join(w), 7) for d, w in rows], "doc_id long, text string, paths int")
+    got = {r.doc_id: r.paths for r in debruijn_dedup.dedup(docs, 35).collect()}
+    assert [len(got[d]) for d in (1, 2, 3, 4)] == [1, 2, 2, 0]
+    assert got[1][0].path == got[2][0].path == got[3][1].path != got[2][1].path == got[3][0].path
+    for d, w in rows:
+        for p in got[d]:
+            read = w[p.start : p.stop]
+            assert len(read) >= 70 and any(read == x[i : i + len(read)] for x in (long, short) for i in range(len(x)))
+
+
+def test_columns_named_like_results_stay(spark):
+    docs = spark.createDataFrame([(1, "a b", 5, "k", 2.5), (None, None, 6, None, None)], "doc_id long, text string, n_words int, kept string, uid double")
+    got = debruijn_dedup.passage_free(docs)
+    assert got.columns == docs.columns and got.dtypes == docs.dtypes
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, docs.collect()), key=str)
+
+
+def test_structured_texts_do_not_collide(spark):
+    """Thue-Morse strings agree under polynomials modulo 2**64."""
+    t = "a"
+    while len(t) < 1024:
+        t += t.translate(str.maketrans("ab", "ba"))
+    rows = [(1, "ab" * 300 + t), (2, t.translate(str.maketrans("ab", "ba")) + "xy" * 9)]
+    texts = [x.encode() for _, x in rows]
+    want = [sum(c) for c in brute(texts, 400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: sum(s.stop - s.start for s in r.spans) for r in suffix_dedup.dedup(docs, 400).collect()}
+    assert [got[1], got[2]] == want

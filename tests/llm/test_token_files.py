@@ -52,3 +52,13 @@ def test_random_access(tmp_path, bits, block):
         assert np.array_equal(reader.ids(a, b), flat[a:b])
     parts = [ids for _, _, ids in reader.documents(300)]
     assert np.array_equal(np.concatenate(parts), flat)
+
+
+def test_memory_of_chunks_is_bounded_in_bytes(monkeypatch):
+    monkeypatch.setattr(tf, "REMEMBERED_BYTES", 2000)
+    enc = tf.Encoder(tf.default_tokenizer())
+    lib = Tokenizer.from_file(tf.default_tokenizer())
+    for k in range(5):
+        texts = [" ".join(f"{k}{i}" + "q" * 200 for i in range(20)), "a b c"]
+        assert enc.encode(texts) == [np.array(lib.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
+        assert enc.known_bytes == sum(4 * len(c) + len(i) for c, i in enc.known.items()) <= 2000

@@ -44,3 +44,25 @@ def test_no_labels_and_no_rows(spark):
     pages = spark.createDataFrame([(1, "http://q.example/x")], "page_id long, url string")
     assert uf.judge(pages).first().verdict == "allow"
     assert uf.judge(pages.limit(0)).count() == 0
+
+
+def test_held_out_urls(spark):
+    """Verdicts of urls that the trees haven't seen: two thirds are labelled."""
+    rows = [(i, f"http://{'win-free-9' if i % 4 == 0 else 'shop'}{i % 23}.{'biz' if i % 4 == 0 or i % 9 == 0 else 'example'}/{'x' * (i % 7)}{i}" + "?id=1&k=2" * (i % 4 == 0), int(i % 4 == 0)) for i in range(900)]
+    pages = spark.createDataFrame([(i, u) for i, u, _ in rows], "page_id long, url string")
+    labels = spark.createDataFrame([r for r in rows if r[0] % 3], "page_id long, url string, blocked int")
+    out = {r.page_id: r.verdict for r in uf.judge(pages, labels, rules=()).collect()}
+    held = [(i, b) for i, _, b in rows if i % 3 == 0]
+    assert sum((out[i] == "block") == bool(b) for i, b in held) >= 0.95 * len(held)
+
+
+def test_a_label_is_no_feature_of_its_own_row(spark):
+    known = spark.createDataFrame([("a", 1), ("a", 0), ("b", 1)], "suffix string, blocked int")
+    got = sorted((r.suffix, r.blocked, round(r.suffix_blocked, 6)) for r in uf.with_suffix_statistics(known, known, own=True).collect())
+    assert got == [("a", 0, 0.666667), ("a", 1, 0.333333), ("b", 1, 0.5)]
+
+
+def test_null_ids_and_long_urls(spark):
+    pages = spark.createDataFrame([(None, "http://x.org/es/" + "y" * 200_000), (None, None)], "page_id long, url string")
+    got = sorted((r.rule or "", len(r.path)) for r in uf.judge(pages).collect())
+    assert got == [("", 0), ("org/es/", 200_004)]
