@@ -30,6 +30,12 @@ def empty(spark: SparkSession) -> Plans:
     return t.plans(spark)
 
 
+def _dealt(df: DataFrame) -> DataFrame:
+    """By plan, as all that follows joins by plan: rows are few bytes and much work,
+    so the number of tasks isn't left to their size."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "plan_id")
+
+
 def _frame(df: DataFrame) -> DataFrame:
     return df.select("plan_id").distinct().select("plan_id", F.lit("dxf").alias("kind"), F.lit(0.001).alias("unit_scale_m"), F.lit(False).alias("y_down"), F.lit(None).cast("int").alias("height_px"), F.lit("mm").alias("source_units"))
 
@@ -40,7 +46,7 @@ def _point(x: str, y: str):
 
 def wall_plans(spark: SparkSession, sf_dir: str, openings: bool = False) -> Plans:
     tables(spark, sf_dir, "lineitem")
-    w = spark.sql(WALLS)
+    w = _dealt(spark.sql(WALLS))
     none = empty(spark)
     wall = w.select("plan_id", F.col("idx").cast("int").alias("idx"), F.concat(F.lit("l"), F.col("idx").cast("string")).alias("source_ref"), _point("x1", "y1").alias("start"), _point("x2", "y2").alias("end"))
     opening = none.opening
@@ -54,7 +60,7 @@ def rect_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """plan_id, idx and the ring of each rectangle, some turned the other way and
     all started at one of four corners."""
     tables(spark, sf_dir, "orders")
-    r = spark.sql(RECTS)
+    r = _dealt(spark.sql(RECTS))
     p = lambda x, y: F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
     x0, y0, x1, y1 = F.col("x0"), F.col("y0"), F.col("x0") + F.col("w"), F.col("y0") + F.col("h")
     ring = F.array(p(x0, y0), p(x1, y0), p(x1, y1), p(x0, y1))
