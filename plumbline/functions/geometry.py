@@ -11,9 +11,15 @@ def point(x: Column, y: Column) -> Column:
     return F.struct(x.alias("x"), y.alias("y"))
 
 
+def bound(value: Column, use) -> Column:
+    """use(value), where the value is computed once however often it is used: a
+    lambda's argument is a value, while an expression is computed at each use."""
+    return F.transform(F.array(value), use)[0]
+
+
 def ring_edges(ring: Column) -> Column:
     """Edges (a, b) from each vertex to the next, with the one that closes."""
-    return F.transform(ring, lambda p, i: F.struct(p.alias("a"), F.element_at(ring, F.when(i + 1 < F.size(ring), i + 2).otherwise(F.lit(1))).alias("b")))
+    return bound(ring, lambda r: F.transform(r, lambda p, i: F.struct(p.alias("a"), F.element_at(r, F.when(i + 1 < F.size(r), i + 2).otherwise(F.lit(1))).alias("b"))))
 
 
 def cross(a: Column, b: Column, kind: str) -> Column:
@@ -97,10 +103,13 @@ def touches(p: Column, q: Column) -> Column:
 
 def self_touching(ring: Column, test=touches) -> Column:
     """Whether two edges that aren't neighbours meet, by the given test."""
-    edges, n = ring_edges(ring), F.size(ring)
-    apart = lambda i, j: (j > i + 1) & ~((i == 0) & (j == n - 1))
-    pairs = F.transform(edges, lambda e, i: F.exists(F.transform(edges, lambda f, j: apart(i, j) & test(e, f)), lambda x: x))
-    return F.exists(pairs, lambda x: x)
+
+    def meets(edges: Column) -> Column:
+        # Each edge against those after its neighbour; the first isn't apart from the last.
+        rest = lambda i: F.slice(edges, i + 3, F.greatest(F.size(edges) - i - 2 - F.when(i == 0, 1).otherwise(0), F.lit(0)))
+        return F.exists(F.transform(edges, lambda e, i: F.exists(rest(i), lambda f: test(e, f))), lambda x: x)
+
+    return bound(ring_edges(ring), meets)
 
 
 def tolerant_touch(quantum: float):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import geometry as g
 from plumbline.functions.numeric import QUANTUM_M
-from plumbline.operators.findings import finding, union
+from plumbline.operators.findings import SPECS, finding, union
 from plumbline.operators.cells import FAR_M, points_in_boxes, segment_box
 from plumbline.operators.normalize import OPENING_OFFSET_M, Normalized, Normalizing
 from plumbline.plans.stages import settled
@@ -18,6 +18,7 @@ WALL_THICKNESS_M, WALL_HEIGHT_M, CEILING_M = 0.10, 2.60, 2.60
 DOOR = (2.10, 0.00)
 WINDOW = (1.20, 0.90)
 DEGENERATE_WALL_M, VERTEX_TOLERANCE_M, AREA_EPS = 0.05, 0.02, 1e-12
+OPEN, FLAT, CROSSED = "room polygon has fewer than three distinct vertices", "room polygon has zero area", "room polygon self-intersects"
 
 # Key, value, reason of each assumption.
 ASSUMPTIONS = (
@@ -119,14 +120,18 @@ def unsupported_edges(wall: DataFrame, room: DataFrame) -> DataFrame:
 def validate_topology(m: Model) -> DataFrame:
     """Findings of the geometry stage, one for each defect (not made distinct)."""
     ref = F.col("id")
-    ring = g.distinct_vertices(F.col("polygon"), VERTEX_TOLERANCE_M)
-    rooms = m.room.withColumn("ring", ring)
-    open_ = F.size("ring") < 3
-    flat = F.abs(g.twice_area(F.col("ring"), "double", "double") / 2) <= AREA_EPS
+    # The first fault of each ring, by one pass over the rooms.
+    fault = g.bound(
+        g.distinct_vertices(F.col("polygon"), VERTEX_TOLERANCE_M),
+        lambda ring: F.when(F.size(ring) < 3, OPEN)
+        .when(F.abs(g.twice_area(ring, "double", "double") / 2) <= AREA_EPS, FLAT)
+        .when(g.self_touching(ring, g.tolerant_touch(QUANTUM_M)), CROSSED),
+    )
+    rooms = m.room.select("plan_id", "id", F.explode(F.array_compact(F.array(fault))).alias("fault"))
+    code = F.when(F.col("fault") == OPEN, "GEOM_OPEN_POLYGON").otherwise("GEOM_SELF_INTERSECTING_POLYGON")
+    severity, tier = SPECS["GEOM_OPEN_POLYGON"]  # those of both
     parts = [
-        finding(rooms.where(open_), "GEOM_OPEN_POLYGON", "room polygon has fewer than three distinct vertices", ref),
-        finding(rooms.where(~open_ & flat), "GEOM_SELF_INTERSECTING_POLYGON", "room polygon has zero area", ref),
-        finding(rooms.where(~open_ & ~flat & g.self_touching(F.col("ring"), g.tolerant_touch(QUANTUM_M))), "GEOM_SELF_INTERSECTING_POLYGON", "room polygon self-intersects", ref),
+        rooms.select("plan_id", code.alias("code"), F.lit(severity).alias("severity"), F.lit(tier).alias("tier"), ref.cast("string").alias("source_ref"), F.col("fault").alias("message")),
         finding(m.wall.where(g.length(F.col("start"), F.col("end")) < DEGENERATE_WALL_M), "GEOM_DEGENERATE_WALL", "wall is shorter than the minimum length", ref),
         finding(loose_walls(m.wall, m.room), "GEOM_OPEN_ROOM_BOUNDARY", "wall endpoints do not coincide with any room boundary", ref),
         finding(unsupported_edges(m.wall, m.room), "GEOM_OPEN_ROOM_BOUNDARY", "room edge has no supporting wall", ref),
