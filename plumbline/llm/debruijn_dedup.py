@@ -2,11 +2,15 @@
 
 Nodes are anchored token k-mers, edges the token strings between them (see
 repeats.py: a run of windows is an edge; its content is its label).  Edges that
-stand in two places or more make the graph of repeats.  Where an edge has one
-follower and that follower one predecessor, the path doesn't branch; such paths
-are compacted through joins on the edges, and read back at their source
-coordinates.  At the ends of a path, where an edge is only in part repeated,
-35-word edges (single windows) decide.
+stand in two places or more make the graph of repeats.  Where an edge is always
+followed by one other, and that one always preceded by it, the path doesn't branch;
+such paths are compacted through joins on the edges, so that all places of a path
+read the same from its first word to its last.  At the ends of a path, where an edge
+is only in part repeated, blocks of windows and single 35-word edges are the paths.
+
+Paths are candidates.  Each place of each path is read again at its source
+coordinates, and what it reads there (a 128-bit digest of the words themselves, not
+of their hashes) must stand at another place of the path: only then do its words go.
 
 Edge cases: null and blank texts have no words; equal rows count as two places;
 windows are judged on the input and never cross rows; further columns are
@@ -15,8 +19,11 @@ ignored.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401 (pa.compute)
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -38,24 +45,62 @@ def compact(whole: DataFrame, window: int, work: Work) -> DataFrame:
     edges = whole.select("uid", repeats.run_lo().alias("lo"), repeats.run_hi().alias("hi"), F.xxhash64("gram", "full").alias("edge"))
     edges = edges.distinct()  # equal rows have equal edges
     follows = F.lead("lo").over(by_row) == F.col("hi") + 1
-    edges = work.keep(edges.withColumn("next", F.when(follows, F.lead("edge").over(by_row))), "edges")
-    # An end of a row, or of the repeats in it, counts as one more follower.
-    out = edges.groupBy("edge").agg(F.min("next").alias("a"), F.max("next").alias("b"), F.count_if(F.col("next").isNull()).alias("ends"))
-    out = out.where("a = b and ends = 0").select("edge", F.col("a").alias("next"))
-    into = edges.where("next is not null").groupBy("next").agg(F.min("edge").alias("a"), F.max("edge").alias("b")).where("a = b").select("next", F.col("a").alias("edge"))
+    after = F.lag("hi").over(by_row) + 1 == F.col("lo")
+    edges = edges.withColumn("next", F.when(follows, F.lead("edge").over(by_row))).withColumn("prev", F.when(after, F.lag("edge").over(by_row)))
+    edges = work.keep(edges, "edges")
+    # An end of a row, or of the repeats in it, counts as one more neighbour.
+    sides = edges.groupBy("edge").agg(*[f(c).alias(f"{n}_{c}") for c in ("next", "prev") for n, f in (("a", F.min), ("b", F.max), ("ends", lambda c: F.count_if(F.col(c).isNull())))])
+    sides = work.keep(sides.where("(a_next = b_next and ends_next = 0) or (a_prev = b_prev and ends_prev = 0)"), "sides")
+    out = sides.where("a_next = b_next and ends_next = 0").select("edge", F.col("a_next").alias("next"))
+    into = sides.where("a_prev = b_prev and ends_prev = 0").select(F.col("edge").alias("next"), F.col("a_prev").alias("edge"))
     plain = work.keep(out.join(into, ["edge", "next"]).select("edge", F.lit(1).alias("joined")), "plain")
     # A line that stands in very many rows is one hot edge: below the bound its rows
     # stay where they are; beyond it, adaptive execution splits the join.
     small = plain.limit(BROADCAST_EDGES + 1).count() <= BROADCAST_EDGES
     joined = edges.join(F.broadcast(plain) if small else plain, "edge", "left")
-    begins = F.coalesce(F.lag("joined").over(by_row), F.lit(0)) == 0
-    joined = joined.withColumn("begins", (begins | (F.lag("hi").over(by_row) + 1 != F.col("lo"))).cast("int"))
+    joined = joined.withColumn("begins", (F.coalesce(F.lag("joined").over(by_row), F.lit(0)) == 0).cast("int"))
     joined = joined.withColumn("path", F.sum("begins").over(by_row))
     # As a path has no branch, its first edge and its length tell all edges of it.
     paths = joined.groupBy("uid", "path").agg(F.min("lo").alias("start"), (F.max("hi") + window).alias("stop"), F.min(F.struct("lo", "edge")).alias("first"), F.max(F.struct("lo", "edge")).alias("last"), F.count("*").alias("edges"))
     return paths.select("uid", "start", "stop", F.xxhash64("first.edge", "last.edge", "edges", F.col("stop") - F.col("start")).alias("path"))
 
 
+def verified(docs: DataFrame, places: DataFrame, work: Work) -> DataFrame:
+    """The places (uid, start, stop, path, key, wanted) that are wanted and whose words
+    stand at another place of the same key: uid, start, stop, path.
+
+    Each row of docs (uid, text) reads its own places, so rows that are equal count
+    as so many places.  A key that hashes got wrong leaves lone digests; as there are
+    hardly any, the join that takes them away has nothing to move."""
+    per_row = places.groupBy("uid").agg(F.collect_set(F.struct("start", "stop", "path", "key", "wanted")).alias("places"))
+
+    def read(batches):
+        for b in batches:
+            data, offsets = text_buffer(b.column("text"))
+            for lo, hi in row_slices(offsets, SLICE_BYTES):
+                d, o = data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
+                starts, ends, rows = word_bounds(d, o)
+                sizes = ends - starts
+                # The words again, one space after each: word k begins at at[k].
+                at = np.concatenate([[0], np.cumsum(sizes + 1)])
+                words = np.full(at[-1], 0x20, dtype=np.uint8)
+                step = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                words[np.repeat(at[:-1], sizes) + step] = d[np.repeat(starts, sizes) + step]
+                words = memoryview(words)
+                lists = b.column("places").slice(lo, hi - lo)
+                mine = lists.flatten()
+                row = np.repeat(np.arange(hi - lo), pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64))
+                first, last = (mine.field(x).to_numpy() for x in ("start", "stop"))
+                begin, stop = at[rows[row] + first].tolist(), at[rows[row] + last].tolist()
+                digests = [hashlib.blake2b(words[x:y], digest_size=16).digest() for x, y in zip(begin, stop)]
+                yield batch(uid=b.column("uid").slice(lo, hi - lo).take(pa.array(row)), start=mine.field("start"), stop=mine.field("stop"), path=mine.field("path"), key=mine.field("key"), wanted=mine.field("wanted"), digest=pa.array(digests, type=pa.binary()))
+
+    schema = "uid long, start long, stop long, path long, key long, wanted boolean, digest binary"
+    seen = work.keep(docs.select("uid", "text").join(per_row, "uid").mapInArrow(read, schema), "read")
+    lone = seen.groupBy("key", "digest").count().where("count = 1").select("key", "digest")
+    return seen.where("wanted").join(lone, ["key", "digest"], "left_anti").select("uid", "start", "stop", "path")
+
+
 def dedup(docs: DataFrame, window: int = WINDOW, extra: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, n_words, n_removed, spans (start, stop in words), paths (start, stop
     and path: compacted repeats and what they read), kept (words joined by one space)
@@ -66,8 +111,12 @@ def dedup(docs: DataFrame, window: int = WINDOW, extra: tuple[str, ...] = ()) ->
     types = dict(docs.dtypes)
     held = [f"extra{i}" for i in range(len(extra))]
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *(F.col(f"`{c}`").alias(h) for c, h in zip(extra, held))).withColumn("uid", row_key("doc_id", "text"))
-    whole, found = repeats.repeated(docs, work, "words", window, gram, BLOCKS)
-    spans = compact(whole, window, work).unionByName(found.withColumn("path", F.lit(None).cast("long")))
+    whole, found = repeats.repeated(docs, work, "words", window, gram, BLOCKS, partners=True)
+    paths = compact(whole, window, work).select("uid", "start", "stop", "path", F.col("path").alias("key"), F.lit(True).alias("wanted"))
+    ends = found.select("uid", "start", "stop", F.lit(None).cast("long").alias("path"), "key", F.col("single").alias("wanted"))
+    spans = work.keep(verified(docs, paths.unionByName(ends), work), "spans")
+    work.drop("read")
+    work.release()
 
     def cut(batches):
         for b in batches:

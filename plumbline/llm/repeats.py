@@ -178,9 +178,12 @@ def _nodes(rows: DataFrame, kind: str, window: int, block: int, parent: int | No
     return rows.mapInArrow(scan, "uid long, at long, single boolean, gram long, blk int, core long, full long, start long, stop long")
 
 
-def repeated(docs: DataFrame, work: Work, kind: str, window: int, gram: int, blocks: tuple[int, ...]) -> tuple[DataFrame, DataFrame]:
+def repeated(docs: DataFrame, work: Work, kind: str, window: int, gram: int, blocks: tuple[int, ...], partners: bool = False) -> tuple[DataFrame, DataFrame]:
     """docs: uid, text.  Returns the runs that stand elsewhere as a whole (uid,
-    at, gram, full) and further covered spans (uid, start, stop)."""
+    at, gram, full) and further covered spans (uid, start, stop).
+
+    partners: spans come with the key of what they read (key), and so do places
+    that read the same and are already in a run that stands elsewhere (single: false)."""
     runs = work.keep(_scan(docs, kind, window, gram), "runs")
     # first() of two columns is of one and the same row: a run of that content.
     contents = work.keep(runs.groupBy("gram", "full").agg(F.count("*").alias("n"), F.first("uid").alias("uid"), F.first("at").alias("at")), "contents")
@@ -199,13 +202,18 @@ def repeated(docs: DataFrame, work: Work, kind: str, window: int, gram: int, blo
     for block in blocks:
         nodes = work.keep(_nodes(rows, kind, window, block, parent), f"nodes{block}").withColumn("me", me)
         same = nodes.groupBy("gram", "full").agg(F.min("me").alias("a"), F.max("me").alias("b")).where("a <> b").select("gram", "full")
-        spans.append(work.keep(nodes.where("single").join(same, ["gram", "full"], "left_semi").select("uid", "start", "stop"), f"spans{block}"))
+        mine = (nodes if partners else nodes.where("single")).join(same, ["gram", "full"], "left_semi")
+        more = (F.xxhash64("gram", "full").alias("key"), "single") if partners else ()
+        spans.append(work.keep(mine.select("uid", "start", "stop", *more), f"spans{block}"))
+        if parent is not None:
+            work.drop(f"nodes{parent}")
         if block > 1:
             alive = nodes.groupBy("gram", "blk", "core").agg(F.min("me").alias("a"), F.max("me").alias("b"), F.min("full").alias("c"), F.max("full").alias("d"))
             alive = alive.where("a <> b and c <> d").select("gram", "blk", "core")
             todo = nodes.join(alive, ["gram", "blk", "core"], "left_semi").groupBy("uid", "at").agg(F.collect_set("blk").alias("blocks"))
             rows, parent = contexts.join(todo, ["uid", "at"]), block
         work.release()
+    work.drop("contexts", f"nodes{blocks[-1]}")
     found = spans[0]
     for more in spans[1:]:
         found = found.unionByName(more)

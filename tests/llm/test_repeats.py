@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 
 from plumbline.llm import debruijn_dedup, suffix_dedup
+from plumbline.llm.common import Work
 
 
 def brute(sequences, window):
@@ -126,3 +127,29 @@ def test_structured_texts_do_not_collide(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: sum(s.stop - s.start for s in r.spans) for r in suffix_dedup.dedup(docs, 400).collect()}
     assert [got[1], got[2]] == want
+
+
+def test_words_at_source_coordinates_decide(spark):
+    """A path whose places don't read the same, as if hashes had collided."""
+    rows = [(1, "a  b c d"), (2, "a b\nc e"), (3, " a b c f"), (3, " a b c f")]
+    docs = spark.createDataFrame(rows, "uid long, text string")
+    places = [(1, 0, 3, 7, 7, True), (2, 0, 3, 7, 7, True)]  # a b c twice
+    places += [(1, 1, 4, 8, 8, True), (2, 1, 4, 8, 8, True)]  # b c d, b c e
+    places += [(3, 1, 4, 9, 9, True)]  # in two rows that are equal
+    places += [(1, 1, 3, None, 5, True), (2, 1, 3, None, 5, False)]  # b c: one of them wanted
+    places = spark.createDataFrame(places, "uid long, start long, stop long, path long, key long, wanted boolean")
+    got = debruijn_dedup.verified(docs, places, Work(spark, "verified", docs)).distinct().collect()
+    assert {tuple(r) for r in got} == {(1, 0, 3, 7), (2, 0, 3, 7), (3, 1, 4, 9), (1, 1, 3, None)}
+
+
+def test_a_path_starts_where_another_place_starts(spark):
+    """B stands after A at two places and alone at a third: B is a path of its own,
+    else its third place would have no other."""
+    rng = random.Random(9)
+    word = lambda: f"u{rng.randint(0, 10**6)}"
+    a, b = [word() for _ in range(150)], [word() for _ in range(150)]
+    noise = lambda: [word() for _ in range(rng.randint(40, 90))]
+    rows = [(1, noise() + a + b), (2, a + b + noise()), (3, noise() + b + noise()), (4, b), (5, b[:80])]
+    docs = spark.createDataFrame([(d, " ".join(w)) for d, w in rows], "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in debruijn_dedup.dedup(docs, 35).collect()}
+    assert got == {1: 300, 2: 300, 3: 150, 4: 150, 5: 80}
