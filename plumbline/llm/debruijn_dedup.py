@@ -28,11 +28,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm import repeats
-from plumbline.llm.common import SLICE_BYTES, Work, batch, row_key, table
+from plumbline.llm.common import SLICE_BYTES, Work, batch, binary_rows, row_key, table
 from plumbline.llm.seqhash import row_slices, text_buffer, word_bounds
 
 WINDOW, GRAM, BLOCKS = 35, 5, (8, 1)
-#: Edges (16 bytes each) up to which the list of unbranched ones is broadcast.
+#: Rows up to which a list of edges (16 bytes each) or of digests (24) is broadcast.
 BROADCAST_EDGES = 500_000
 
 
@@ -65,13 +65,33 @@ def compact(whole: DataFrame, window: int, work: Work) -> DataFrame:
     return paths.select("uid", "start", "stop", F.xxhash64("first.edge", "last.edge", "edges", F.col("stop") - F.col("start")).alias("path"))
 
 
+def _spaced(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words with one space after each, and where each begins (and the end)."""
+    sizes = ends - starts
+    at = np.concatenate([[0], np.cumsum(sizes + 1)])
+    words = np.full(at[-1], 0x20, dtype=np.uint8)
+    step = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    words[np.repeat(at[:-1], sizes) + step] = data[np.repeat(starts, sizes) + step]
+    return words, at
+
+
+def _listed(lists: pa.Array) -> tuple[np.ndarray, pa.StructArray]:
+    """The rows (from 0) and values of a column of lists; null is empty."""
+    sizes = pa.compute.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)
+    return np.repeat(np.arange(len(lists)), sizes.astype(np.int64)), lists.flatten()
+
+
+def _lists(sizes: np.ndarray, **fields) -> pa.Array:
+    values = pa.StructArray.from_arrays([x if isinstance(x, pa.Array) else pa.array(x, type=pa.int64()) for x in fields.values()], names=list(fields))
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), type=pa.int32()), values)
+
+
 def verified(docs: DataFrame, places: DataFrame, work: Work) -> DataFrame:
     """The places (uid, start, stop, path, key, wanted) that are wanted and whose words
     stand at another place of the same key: uid, start, stop, path.
 
     Each row of docs (uid, text) reads its own places, so rows that are equal count
-    as so many places.  A key that hashes got wrong leaves lone digests; as there are
-    hardly any, the join that takes them away has nothing to move."""
+    as so many places.  Only a key that hashes got wrong leaves lone digests."""
     per_row = places.groupBy("uid").agg(F.collect_set(F.struct("start", "stop", "path", "key", "wanted")).alias("places"))
 
     def read(batches):
@@ -80,16 +100,9 @@ def verified(docs: DataFrame, places: DataFrame, work: Work) -> DataFrame:
             for lo, hi in row_slices(offsets, SLICE_BYTES):
                 d, o = data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
                 starts, ends, rows = word_bounds(d, o)
-                sizes = ends - starts
-                # The words again, one space after each: word k begins at at[k].
-                at = np.concatenate([[0], np.cumsum(sizes + 1)])
-                words = np.full(at[-1], 0x20, dtype=np.uint8)
-                step = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-                words[np.repeat(at[:-1], sizes) + step] = d[np.repeat(starts, sizes) + step]
+                words, at = _spaced(d, starts, ends)
                 words = memoryview(words)
-                lists = b.column("places").slice(lo, hi - lo)
-                mine = lists.flatten()
-                row = np.repeat(np.arange(hi - lo), pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64))
+                row, mine = _listed(b.column("places").slice(lo, hi - lo))
                 first, last = (mine.field(x).to_numpy() for x in ("start", "stop"))
                 begin, stop = at[rows[row] + first].tolist(), at[rows[row] + last].tolist()
                 digests = [hashlib.blake2b(words[x:y], digest_size=16).digest() for x, y in zip(begin, stop)]
@@ -97,8 +110,9 @@ def verified(docs: DataFrame, places: DataFrame, work: Work) -> DataFrame:
 
     schema = "uid long, start long, stop long, path long, key long, wanted boolean, digest binary"
     seen = work.keep(docs.select("uid", "text").join(per_row, "uid").mapInArrow(read, schema), "read")
-    lone = seen.groupBy("key", "digest").count().where("count = 1").select("key", "digest")
-    return seen.where("wanted").join(lone, ["key", "digest"], "left_anti").select("uid", "start", "stop", "path")
+    lone = work.keep(seen.groupBy("key", "digest").count().where("count = 1").select("key", "digest"), "lone")
+    small = lone.limit(BROADCAST_EDGES + 1).count() <= BROADCAST_EDGES
+    return seen.where("wanted").join(F.broadcast(lone) if small else lone, ["key", "digest"], "left_anti").select("uid", "start", "stop", "path")
 
 
 def dedup(docs: DataFrame, window: int = WINDOW, extra: tuple[str, ...] = ()) -> DataFrame:
@@ -124,39 +138,46 @@ def dedup(docs: DataFrame, window: int = WINDOW, extra: tuple[str, ...] = ()) ->
             for lo, hi in row_slices(offsets, SLICE_BYTES):
                 d, o = data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
                 starts, ends, rows = word_bounds(d, o)
-                cover = np.zeros(len(starts) + 1, dtype=np.int64)
-                removed, paths = [], []
-                for row in range(lo, hi):
-                    paths.append(sorted((p for p in b.column("spans")[row].as_py() or [] if p["path"] is not None), key=lambda p: p["start"]))
-                    s, e = repeats.row_spans(b.column("spans"), row)
-                    removed.append([{"start": x, "stop": y} for x, y in zip(s.tolist(), e.tolist())])
-                    np.add.at(cover, s + rows[row - lo], 1)
-                    np.add.at(cover, e + rows[row - lo], -1)
+                row, value = _listed(b.column("spans").slice(lo, hi - lo))
+                first, last = (value.field(x).to_numpy() for x in ("start", "stop"))
+                n = len(starts)
+                cover = np.bincount(rows[row] + first, minlength=n + 1) - np.bincount(rows[row] + last, minlength=n + 1)
                 keep = np.cumsum(cover)[:-1] == 0
-                kept, texts = [], []
-                flat = d.tobytes()
-                for row in range(hi - lo):
-                    w = slice(rows[row], rows[row + 1])
-                    k = keep[w]
-                    ws, we = starts[w][k].tolist(), ends[w][k].tolist()
-                    kept.append(b" ".join([flat[x:y] for x, y in zip(ws, we)]).decode())
-                    if k.all():
-                        texts.append(flat[o[row] : o[row + 1]].decode() if b.column("text")[lo + row].is_valid else None)
-                        continue
-                    # Whole stretches between removed words, with their own gaps.
-                    mark = np.diff(np.concatenate([[0], k.astype(np.int8), [0]]))
-                    first, last = np.flatnonzero(mark == 1), np.flatnonzero(mark == -1)
-                    begin = np.where(first == 0, o[row], starts[w][np.minimum(first, len(k) - 1)])
-                    stop = np.concatenate([starts[w], [o[row + 1]]])[last]
-                    texts.append(b"".join(flat[x:y] for x, y in zip(begin.tolist(), stop.tolist())).decode())
+                row_of = np.repeat(np.arange(hi - lo), np.diff(rows))
+                heads = np.ones(n + 1, dtype=bool)  # words that begin a row
+                heads[1:-1] = row_of[1:] != row_of[:-1]
+                begins = np.flatnonzero(~keep & (heads[:-1] | np.concatenate([[True], keep[:-1]])))
+                closes = np.flatnonzero(~keep & (heads[1:] | np.concatenate([keep[1:], [True]]))) + 1
+                of = row_of[begins]
+                removed = _lists(np.bincount(of, minlength=hi - lo), start=begins - rows[of], stop=closes - rows[of])
+                named = value.field("path").is_valid().to_numpy(zero_copy_only=False)
+                order = np.flatnonzero(named)[np.lexsort([first[named], row[named]])]
+                paths = _lists(np.bincount(row[order], minlength=hi - lo), start=first[order], stop=last[order], path=value.field("path").take(pa.array(order)))
+                # Kept words with one space after each, but for a row's last.
+                words, at = _spaced(d, starts, ends)
+                sizes = np.where(keep, np.diff(at), 0)
+                chosen = np.repeat(keep, np.diff(at))
+                tails = np.flatnonzero(keep)
+                tails = tails[np.concatenate([row_of[tails][1:] != row_of[tails][:-1], [True]])] if len(tails) else tails
+                chosen[at[tails + 1] - 1] = False
+                sizes[tails] -= 1
+                kept = binary_rows(words[chosen], np.concatenate([[0], np.cumsum(sizes)])[rows])
+                # A word goes with the gap after it, a row's first also with the one before.
+                word_begins = np.where(heads[:-1], o[:-1][row_of], starts)
+                word_stops = np.where(heads[1:], o[1:][row_of], np.concatenate([starts[1:], [0]])[:n])
+                gone = np.zeros(len(d) + 1, dtype=np.int64)
+                gone[word_begins[~keep]] += 1
+                gone[word_stops[~keep]] -= 1
+                left = np.cumsum(gone)[:-1] == 0
+                text_kept = binary_rows(d[left], np.concatenate([[0], np.cumsum(left)])[o]).cast(pa.string())
                 yield batch(
                     doc_id=b.column("doc_id").slice(lo, hi - lo),
                     n_words=np.diff(rows).astype(np.int64),
-                    n_removed=np.add.reduceat(np.concatenate([~keep, [False]]).astype(np.int64), rows[:-1]) * (np.diff(rows) > 0),
-                    spans=pa.array(removed, type=pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))),
-                    paths=pa.array(paths, type=pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("path", pa.int64())]))),
-                    kept=pa.array(kept, type=pa.string()),
-                    text_kept=pa.array(texts, type=pa.string()),
+                    n_removed=np.bincount(row_of[~keep], minlength=hi - lo).astype(np.int64),
+                    spans=removed,
+                    paths=paths,
+                    kept=kept.cast(pa.string()),
+                    text_kept=pa.compute.if_else(b.column("text").slice(lo, hi - lo).is_valid(), text_kept, None),
                     **{h: b.column(h).slice(lo, hi - lo) for h in held},
                 )
 
